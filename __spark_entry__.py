@@ -717,7 +717,7 @@ def csv_round_trip(spark, sf_dir):
     """Documents encoded, landed as result sets with headers, and read back."""
     documents = table(spark, sf_dir, "documents")
     path = new_run_dir(spark, "round-trip")
-    batches = ob.payloads(documents, ["doc_id"], max_bytes=1 << 18, unique_order=True)
+    batches = ob.payloads(documents, ["doc_id"], max_bytes=1 << 20, unique_order=True)
     batches.select("batch_no", "payload").write.partitionBy("batch_no").text(path)
     return ob.apply_schema(ob.read_result_sets(spark, path), documents.schema)
 

@@ -25,11 +25,13 @@ TIMESTAMP_TEXT = (
 )
 DATE_TEXT = r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
 
+# First characters of numbers and timestamps.
+VALUE_STARTS = list("0123456789+-.NI")
+# Bytes of the shortest and longest timestamp text.
+TIMESTAMP_BYTES = (14, 29)
+
+_INTEGER_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 _PATTERNS = {
-    T.ByteType: INTEGER_TEXT,
-    T.ShortType: INTEGER_TEXT,
-    T.IntegerType: INTEGER_TEXT,
-    T.LongType: INTEGER_TEXT,
     T.FloatType: FLOAT_TEXT,
     T.DoubleType: FLOAT_TEXT,
     T.TimestampType: TIMESTAMP_TEXT,
@@ -41,6 +43,27 @@ _PATTERNS = {
 INT_BIT, LONG_BIT, DOUBLE_BIT, TIMESTAMP_BIT, TEXT_BIT = 1, 2, 4, 8, 16
 
 
+def _digits_that_fit(bits: int) -> int:
+    """Text no longer than this is in range of the integer type, whatever it says."""
+    return len(str(1 << (bits - 1))) - 1
+
+
+def _in_range(text: Column, bits: int) -> Column:
+    """Whether digits are in range of an integer type.
+
+    Checked on a decimal of full width, which is null beyond 38 digits: a try_cast
+    to the integer type answers an overflow by way of an exception, and that costs
+    many times the parse.
+    """
+    top = 1 << (bits - 1)
+    limit = f"decimal({len(str(top))},0)"
+    number = text.try_cast("decimal(38,0)")
+    return (F.octet_length(text) <= _digits_that_fit(bits)) | F.coalesce(
+        number.between(F.lit(str(-top)).cast(limit), F.lit(str(top - 1)).cast(limit)),
+        F.lit(False),
+    )
+
+
 def parse_text(text: Column, data_type: T.DataType) -> Column:
     """``text`` as ``data_type``; null where it is not written as that type."""
     if isinstance(data_type, T.StringType):
@@ -51,6 +74,11 @@ def parse_text(text: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.DecimalType):
         plain = F.replace(text, F.lit(","), F.lit(""))
         return F.when(plain.rlike(NUMBER_TEXT), plain.try_cast(data_type))
+    bits = _INTEGER_BITS.get(type(data_type))
+    if bits is not None:
+        return F.when(
+            text.rlike(INTEGER_TEXT) & _in_range(text, bits), text.try_cast(data_type)
+        )
     pattern = _PATTERNS.get(type(data_type))
     if pattern is None:
         raise TypeError(f"unsupported data type: {data_type.simpleString()}")
@@ -96,16 +124,20 @@ def is_reject(text: Column, field: T.StructField) -> Column:
 def type_bit(text: Column) -> Column:
     """The class bit of one text value; null for a missing one."""
     whole = (
-        F.when(text.try_cast("int").isNotNull(), INT_BIT)
-        .when(text.try_cast("bigint").isNotNull(), LONG_BIT)
+        F.when(_in_range(text, 32), INT_BIT)
+        .when(_in_range(text, 64), LONG_BIT)
         .otherwise(DOUBLE_BIT)
     )
     return (
         F.when(text.isNull() | (text == ""), F.lit(None).cast("int"))
+        # most text is told by its first character, however long it is
+        .when(~F.substring(text, 1, 1).isin(VALUE_STARTS), TEXT_BIT)
         .when(text.rlike(INTEGER_TEXT), whole)
         .when(text.rlike(FLOAT_TEXT), DOUBLE_BIT)
         .when(
-            text.rlike(TIMESTAMP_TEXT) & text.try_cast("timestamp").isNotNull(),
+            F.octet_length(text).between(*TIMESTAMP_BYTES)
+            & text.rlike(TIMESTAMP_TEXT)
+            & text.try_cast("timestamp").isNotNull(),
             TIMESTAMP_BIT,
         )
         .otherwise(TEXT_BIT)

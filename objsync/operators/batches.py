@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from objsync.functions.text import csv_line, quoted, row_bytes
-from objsync.operators.positions import range_sorted, row_positions
+from objsync.operators.positions import place_rows, range_sorted, row_positions
 
 # Batch limits.
 TARGET_BATCH_BYTES = 10 * 1024 * 1024
@@ -76,20 +76,34 @@ def plan_batches(
     A row goes to the batch its first byte falls in when all rows are laid out in
     ``order_by`` order, so every batch holds ``max_bytes`` at most plus the end of
     one row, whatever the keys look like, and a total just above ``k * max_bytes``
-    gives ``k + 1`` batches. The number is a function of the data alone.
+    gives ``k + 1`` batches. The number is a function of the data alone. Numbers run
+    without a gap, also where single rows are larger than a batch.
     """
     size = row_bytes(csv_line(df)) if size is None else size
     sized = df.withColumn("n_bytes", size.cast("bigint"))
-    placed = row_positions(
+    placed, largest = place_rows(
         sized, order_by, weight=F.col("n_bytes"), unique_order=unique_order
     )
     batch_no = F.call_function("div", F.col("weight_before"), F.lit(max_bytes)) + 1
-    return placed.select(
+    planned = placed.select(
         *[F.col(quoted(c)) for c in df.columns],
         "n_bytes",
         "row_index",
         batch_no.alias("batch_no"),
     )
+    return _without_gaps(planned) if largest > max_bytes else planned
+
+
+def _without_gaps(planned: DataFrame) -> DataFrame:
+    """Number the batches anew, one row per batch in the join."""
+    used = planned.select(F.col("batch_no").alias("_used")).distinct()
+    numbers = row_positions(used, ["_used"], unique_order=True).select(
+        "_used", (F.col("row_index") + 1).alias("_dense")
+    )
+    return planned.join(numbers, F.col("batch_no") == F.col("_used")).select(
+        *[F.col(quoted(c)) for c in planned.columns if c != "batch_no"],
+        F.col("_dense").alias("batch_no"),
+    )
 
 
 def batch_payloads(planned: DataFrame, header: str | None = None) -> DataFrame:
@@ -121,6 +135,7 @@ def cut_batches(
     header_bytes: int = 0,
     shard: Column | None = None,
     unique_order: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``df`` with ``shard`` and ``seq``: batches filled greedily in row order.
 
@@ -136,7 +151,7 @@ def cut_batches(
     """
     sized = df.withColumn(_SIZE, row_bytes(csv_line(df)) + 1)
     if shard is None:
-        ordered = range_sorted(sized, order_by, unique_order).withColumn(
+        ordered = range_sorted(sized, order_by, unique_order, partitions).withColumn(
             "shard", F.spark_partition_id().cast("bigint")
         )
     else:

@@ -63,7 +63,7 @@ def range_sorted(
     return ranged.sortWithinPartitions(*keys).drop(_TIE_HASH, _TIE_ROW)
 
 
-def _with_running_total(placed: DataFrame) -> DataFrame:
+def _with_running_total(ranged: DataFrame) -> DataFrame:
     """Append the sum of the weights before each row of its partition."""
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,8 +78,8 @@ def _with_running_total(placed: DataFrame) -> DataFrame:
                 names=[*batch.schema.names, TOTAL],
             )
 
-    schema = T.StructType([*placed.schema.fields, T.StructField(TOTAL, T.LongType())])
-    return placed.mapInArrow(totals, schema)
+    schema = T.StructType([*ranged.schema.fields, T.StructField(TOTAL, T.LongType())])
+    return ranged.mapInArrow(totals, schema)
 
 
 def row_positions(
@@ -94,9 +94,20 @@ def row_positions(
     With ``weight``, a non-negative whole number per row, also ``weight_before``:
     the sum of the weights of all earlier rows.
     """
+    return place_rows(df, order_by, weight, unique_order, partitions)[0]
+
+
+def place_rows(
+    df: DataFrame,
+    order_by: list[str | Column],
+    weight: Column | None = None,
+    unique_order: bool = False,
+    partitions: int | None = None,
+) -> tuple[DataFrame, int]:
+    """The positions as ``row_positions`` gives them, and the largest weight."""
     spark = df.sparkSession
     names = df.columns
-    placed = range_sorted(
+    ranged = range_sorted(
         df if weight is None else df.withColumn(WEIGHT, weight.cast("bigint")),
         order_by,
         unique_order,
@@ -107,14 +118,14 @@ def row_positions(
         F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_BITS)).alias(PLACE),
     )
     if weight is not None:
-        placed = _with_running_total(placed)
+        ranged = _with_running_total(ranged)
     path = new_run_dir(spark, "positions")
-    placed.write.parquet(path)
+    ranged.write.parquet(path)
 
-    stored = spark.read.schema(placed.schema).parquet(path)
+    stored = spark.read.schema(ranged.schema).parquet(path)
     sums = [F.count("*").alias("rows")]
     if weight is not None:
-        sums.append(F.sum(WEIGHT).alias("weight"))
+        sums += [F.sum(WEIGHT).alias("weight"), F.max(WEIGHT).alias("largest")]
     # one row per partition of the written table, as many as the shuffle had
     parts = sorted(stored.groupBy(PART).agg(*sums).collect(), key=lambda r: r[PART])
     row_starts = accumulate((r["rows"] for r in parts), initial=0)
@@ -131,7 +142,9 @@ def row_positions(
     ]
     if weight is not None:
         columns.append((F.col("_weight_before") + F.col(TOTAL)).alias("weight_before"))
-    return stored.join(F.broadcast(offsets), PART).select(*columns)
+    placed = stored.join(F.broadcast(offsets), PART).select(*columns)
+    largest = max((r["largest"] for r in parts), default=0) if weight is not None else 0
+    return placed, largest
 
 
 def paginate(

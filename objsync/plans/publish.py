@@ -12,12 +12,12 @@ import logging
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from objsync.operators.batches import TARGET_BATCH_BYTES
 from objsync.plans.manifest import dataset_manifest
-from objsync.plans.stage import check_staged, payloads
+from objsync.plans.stage import payloads
 
 logger = logging.getLogger(__name__)
 
@@ -73,24 +73,29 @@ def publish_dataset(
 
     parts_path = f"{path}/parts/run={run}"
     parts = payloads(df, order_by, max_bytes, False, unique_order)
-    parts.withColumnRenamed("batch_no", "part_no").write.parquet(parts_path)
-    checked = check_staged(spark.read.parquet(parts_path)).first()
-    if not checked["success"]:
+    sent = Observation()
+    parts.withColumnRenamed("batch_no", "part_no").observe(sent, *_totals()).write.parquet(
+        parts_path
+    )
+    stored = spark.read.parquet(parts_path).agg(*_totals()).first().asDict()
+    if stored != sent.get or stored["last_part"] != stored["n_parts"]:
         raise RuntimeError(f"parts of dataset {name} are not whole")
 
-    commit = (
-        run,
-        oper,
-        ACTION_PROCESS,
-        time.time_ns(),
-        checked["n_batches"],
-        checked["n_rows"],
-        checked["n_bytes"],
-    )
+    n_parts, n_rows, n_bytes = (stored[k] for k in ("n_parts", "n_rows", "n_bytes"))
+    commit = (run, oper, ACTION_PROCESS, time.time_ns(), n_parts, n_rows, n_bytes)
     _write_record(spark, commit, _COMMIT, f"{path}/commits/run={run}")
     return run
 
 
+def _totals() -> list[Column]:
+    return [
+        F.count("*").alias("n_parts"),
+        F.coalesce(F.max("part_no"), F.lit(0)).alias("last_part"),
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n_bytes"),
+    ]
+
+
 def _write_record(spark: SparkSession, record: tuple, schema: str, path: str) -> None:
     one = spark.createDataFrame([record], schema).drop("run").coalesce(1)
     one.write.json(path)

@@ -22,7 +22,7 @@ def read_pages(
 ) -> DataFrame:
     """Page documents below ``path``: ``(done, records)``, one row per page.
 
-    Record values are text. With ``columns`` the pages are parsed to just those
+    Record values are text, a nested value its JSON text. With ``columns`` the pages are parsed to just those
     fields and nothing is read ahead; without, one extra pass finds the fields.
     ``multi_line=False`` reads files with one page per line, which Spark can split.
     """
