@@ -128,18 +128,18 @@ def type_bit(text: Column) -> Column:
         .when(_in_range(text, 64), LONG_BIT)
         .otherwise(DOUBLE_BIT)
     )
+    is_timestamp = (
+        F.octet_length(text).between(*TIMESTAMP_BYTES)
+        & text.rlike(TIMESTAMP_TEXT)
+        & text.try_cast("timestamp").isNotNull()
+    )
+    # cheap looks at the text come first, so that most values meet one pattern only
     return (
         F.when(text.isNull() | (text == ""), F.lit(None).cast("int"))
-        # most text is told by its first character, however long it is
         .when(~F.substring(text, 1, 1).isin(VALUE_STARTS), TEXT_BIT)
-        .when(text.rlike(INTEGER_TEXT), whole)
+        .when(text.contains(":"), F.when(is_timestamp, TIMESTAMP_BIT).otherwise(TEXT_BIT))
+        .when(~text.contains(".") & text.rlike(INTEGER_TEXT), whole)
         .when(text.rlike(FLOAT_TEXT), DOUBLE_BIT)
-        .when(
-            F.octet_length(text).between(*TIMESTAMP_BYTES)
-            & text.rlike(TIMESTAMP_TEXT)
-            & text.try_cast("timestamp").isNotNull(),
-            TIMESTAMP_BIT,
-        )
         .otherwise(TEXT_BIT)
     )
 

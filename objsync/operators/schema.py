@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from objsync.functions import casts
-from objsync.functions.text import chosen_fields, form_encode
+from objsync.functions.text import chosen_fields, form_encode, quoted
 
 logger = logging.getLogger(__name__)
 
@@ -24,43 +24,48 @@ def _by_position(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return df.toDF(*plain), dict(zip(df.columns, plain))
 
 
-def _type_masks(df: DataFrame) -> DataFrame:
+def _values(df: DataFrame) -> DataFrame:
+    """``(position, value)`` of every value: one code path for any number of columns."""
     renamed, _ = _by_position(df)
-    return renamed.agg(
-        *[F.bit_or(casts.type_bit(renamed[c])).alias(c) for c in renamed.columns]
-    )
+    columns = F.array(*[renamed[c] for c in renamed.columns])
+    return renamed.select(F.posexplode(columns).alias("position", "value"))
 
 
 def infer_types(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
     """Inferred type of every string column: ``(position, name, type)`` rows.
 
-    One aggregate over all columns. The answer depends on neither row order nor
-    partitioning: classes are combined with a bitwise or, numbers mixed with
-    timestamps are text, and a column without values is text. All rows are read
-    unless ``sample_rows`` asks for the first few only.
+    One aggregate over all columns, reduced to a row per column before it is
+    shuffled. The answer depends on neither row order nor partitioning: classes are
+    combined with a bitwise or, numbers mixed with timestamps are text, and a column
+    without values is text. All rows are read unless ``sample_rows`` asks for the
+    first few only.
     """
     source = df.limit(sample_rows) if sample_rows is not None else df
-    masks = _type_masks(source)
-    rows = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(name).alias("name"),
-            casts.type_of_bits(F.col(f"c{i}")).alias("type"),
-        )
-        for i, name in enumerate(df.columns)
-    ]
-    return masks.select(F.inline(F.array(*rows)))
+    masks = (
+        _values(source)
+        .groupBy("position")
+        .agg(F.bit_or(casts.type_bit(F.col("value"))).alias("bits"))
+    )
+    # one row holding a mask per column; a column of a table without rows has none
+    by_position = masks.agg(
+        F.map_from_entries(F.collect_list(F.struct("position", "bits"))).alias("masks")
+    )
+    names = F.array(*[F.lit(name) for name in df.columns])
+    return by_position.select(
+        F.posexplode(names).alias("position", "name"), "masks"
+    ).select(
+        "position",
+        "name",
+        casts.type_of_bits(F.try_element_at("masks", F.col("position"))).alias("type"),
+    )
 
 
 def infer_schema(df: DataFrame, sample_rows: int | None = None) -> T.StructType:
     """The inferred schema, every field nullable. Runs one aggregate job."""
-    source = df.limit(sample_rows) if sample_rows is not None else df
-    types = _type_masks(source).select(
-        *[casts.type_of_bits(F.col(f"c{i}")) for i in range(len(df.columns))]
-    )
     schema = T.StructType()
-    for name, type_name in zip(df.columns, types.first()):
-        schema.add(name, T.DataType.fromDDL(type_name), nullable=True)
+    # one row per column
+    for row in sorted(infer_types(df, sample_rows).collect()):
+        schema.add(row["name"], T.DataType.fromDDL(row["type"]), nullable=True)
     return schema
 
 
@@ -101,31 +106,35 @@ def apply_schema(
         raise ValueError(f"mode must be strict or permissive, not {mode!r}")
     if rejects_col and mode == "strict":
         raise ValueError("rejects_col needs mode='permissive'")
-    cast = casts.strict_cast if mode == "strict" else casts.permissive_cast
     encoded = chosen_fields(encode_fields)
-    records, position = _by_position(align(df, schema.fieldNames()))
+    records = align(df, schema.fieldNames())
+    records = records.toDF(*[f"c{i}" for i in range(len(schema))])
+    cast = casts.strict_cast if mode == "strict" else casts.permissive_cast
+    typed = [cast(records[f"c{i}"], f).alias(f"t{i}") for i, f in enumerate(schema.fields)]
+    rows = records.select("*", *typed)
     columns = []
-    for field in schema.fields:
-        value = cast(records[position[field.name]], field)
+    for i, field in enumerate(schema.fields):
+        value = rows[f"t{i}"]
         if isinstance(field.dataType, T.StringType) and field.name in encoded:
             value = form_encode(value)
         columns.append(value.alias(field.name))
     if rejects_col:
-        columns.append(_reject_array(records, position, schema).alias(rejects_col))
-    return records.select(*columns)
+        columns.append(_reject_array(rows, schema).alias(rejects_col))
+    return rows.select(*columns)
 
 
-def _reject_array(records: DataFrame, position: dict[str, str], schema: T.StructType):
+def _reject_array(rows: DataFrame, schema: T.StructType) -> Column:
+    """The refused values of a row, seen by what has become of each text."""
     entries = [
         F.when(
-            casts.is_reject(records[position[field.name]], field),
+            ~casts.is_blank(rows[f"c{i}"], field) & rows[f"t{i}"].isNull(),
             F.struct(
                 F.lit(field.name).alias("column"),
-                records[position[field.name]].alias("value"),
+                rows[f"c{i}"].alias("value"),
                 F.lit(field.dataType.simpleString()).alias("type"),
             ),
         )
-        for field in schema.fields
+        for i, field in enumerate(schema.fields)
         if not isinstance(field.dataType, T.StringType)
     ]
     if not entries:
@@ -134,12 +143,32 @@ def _reject_array(records: DataFrame, position: dict[str, str], schema: T.Struct
 
 
 def cast_rejects(df: DataFrame, schema: T.StructType, key: str) -> DataFrame:
-    """Values that do not parse: ``(key, column, value, type)`` rows."""
-    names = schema.fieldNames()
-    aligned = align(df, names + [key])
-    records, _ = _by_position(aligned)
-    position = {name: f"c{i}" for i, name in enumerate(names)}
-    return records.select(
-        records[f"c{len(names)}"].alias(key),
-        F.inline(_reject_array(records, position, schema)),
+    """Values that do not parse: ``(key, column, value, type)`` rows.
+
+    Values of all columns go through one check per type, however many columns
+    there are.
+    """
+    fields = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    names = [f.name for f in fields]
+    types = [f.dataType.simpleString() for f in fields]
+    aligned = align(df, [key, *names])
+    aligned = aligned.toDF("_key", *[f"c{i}" for i in range(len(names))])
+    texts = F.array(*[F.col(f"c{i}") for i in range(len(names))]).cast("array<string>")
+    values = aligned.select(
+        F.col("_key").alias(key), F.posexplode(texts).alias("_position", "value")
+    )
+    rejected = F.lit(False)
+    groups: dict[tuple[str, bool], list[int]] = {}
+    for i, field in enumerate(fields):
+        groups.setdefault((types[i], field.nullable), []).append(i)
+    for positions in groups.values():
+        is_member = F.col("_position").isin(positions)
+        refused = casts.is_reject(F.col("value"), fields[positions[0]])
+        rejected = F.when(is_member, refused).otherwise(rejected)
+    at = F.col("_position") + 1
+    return values.where(rejected).select(
+        F.col(quoted(key)),
+        F.element_at(F.array(*map(F.lit, names)).cast("array<string>"), at).alias("column"),
+        "value",
+        F.element_at(F.array(*map(F.lit, types)).cast("array<string>"), at).alias("type"),
     )

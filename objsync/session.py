@@ -1,4 +1,4 @@
-"""Session helpers: the shared folder that intermediate tables are written to."""
+"""Session helpers: settings, and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
@@ -8,6 +8,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings that suit these jobs; a session is built with them, the library sets none.
+# Timestamps are read in UTC. Wide typed projections make methods that the JVM would
+# not compile above 8000 bytes, so Spark should split them instead.
+RECOMMENDED_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
