@@ -888,6 +888,40 @@ def cut_batches_ranges(spark, sf_dir):
     )
 
 
+@query(
+    f"""
+    SELECT shard, seq, count(*) AS n_rows,
+           '{_ORDER_HEADER}' || chr(10) || string_agg(line, chr(10) ORDER BY o_orderkey)
+               AS payload
+    FROM (SELECT o_orderkey, o_orderkey // 4096 AS shard, {_ORDER_LINE} AS line,
+                 1 + (row_number() OVER (PARTITION BY o_orderkey // 4096
+                                         ORDER BY o_orderkey) - 1) // 1000 AS seq
+          FROM orders)
+    GROUP BY shard, seq"""
+)
+def cut_payloads(spark, sf_dir):
+    """Payloads of batches cut by their number of rows."""
+    orders = table(spark, sf_dir, "orders")
+    cut = ob.cut_payloads(
+        orders, ["o_orderkey"], max_rows=1000, shard=F.expr("o_orderkey div 4096")
+    )
+    return cut.select("shard", "seq", "n_rows", "payload")
+
+
+@query(f"SELECT {_ORDER_LINE} AS line, true AS within_caps FROM orders")
+def cut_payloads_ranges(spark, sf_dir):
+    """The lines found in payloads cut over range partitions, and their limits."""
+    orders = table(spark, sf_dir, "orders")
+    cut = ob.cut_payloads(orders, ["o_orderkey"], 700, 30000, unique_order=True)
+    bounded = (F.col("n_rows") <= 700) & (F.octet_length("payload") <= 30000)
+    return cut.select(
+        F.explode(F.slice(F.split("payload", "\n"), 2, F.col("n_rows").cast("int"))).alias(
+            "line"
+        ),
+        bounded.alias("within_caps"),
+    )
+
+
 # ---------------------------------------------------------------- updates and outcomes
 
 
@@ -956,6 +990,20 @@ def update_by_key_set_nulls(spark, sf_dir):
     return ob.update_by_key(customers, updates, "c_custkey", nulls="set")
 
 
+@query(_updated_sql("b", True))
+def update_table(spark, sf_dir):
+    """An update of a table by rows computed from that same table."""
+    path = new_run_dir(spark, "accounts")
+    name = f"accounts_{uuid.uuid4().hex}"
+    ob.save_extract(table(spark, sf_dir, "customer"), f"{path}/first")
+    accounts = ob.register_extract(spark, name, f"{path}/first")
+    updates = account_updates(spark, sf_dir, blanks=True)
+    ob.replace_extract(
+        ob.update_by_key(accounts, updates, "c_custkey", nulls="set"), name, path
+    )
+    return spark.table(name)
+
+
 _RESULTS_SQL = f"""
     SELECT "Id", error = '' AS "Success", false AS "Created", error AS "Error" FROM (
         SELECT u.c_custkey AS "Id",
@@ -1164,6 +1212,24 @@ def publish_dataset(spark, sf_dir):
     return ob.published_parts(spark, path).drop("run")
 
 
+@query(
+    f"""
+    SELECT name, CASE WHEN type IN ('int', 'double') THEN 'Numeric' ELSE 'Text' END AS type,
+           CAST(CASE type WHEN 'int' THEN 10 WHEN 'double' THEN 16 END AS INTEGER)
+               AS precision,
+           CASE WHEN type IN ('int', 'double') THEN '0' END AS "defaultValue",
+           CAST(CASE type WHEN 'int' THEN 0 WHEN 'double' THEN 6 END AS INTEGER) AS scale
+    FROM ({_inferred_sql(_ORDER_TEXT_SQL, _ORDER_COLUMNS)})"""
+)
+def published_manifest(spark, sf_dir):
+    """The manifest of a published dataset, as a reader of the dataset finds it."""
+    typed = ob.typed_rows(order_text(spark, sf_dir), infer=True)
+    path = new_run_dir(spark, "dataset")
+    ob.publish_dataset(typed, path, "Opportunity", ["id"], unique_order=True)
+    fields = ob.manifest_fields(ob.published_manifests(spark, path), "manifest")
+    return fields.select("name", "type", "precision", "defaultValue", "scale")
+
+
 @query("SELECT * FROM orders")
 def extract_table(spark, sf_dir):
     """An extract written as files and read through a table over them."""

@@ -13,6 +13,7 @@ from objsync.operators.batches import (
     batch_count,
     batch_payloads,
     cut_batches,
+    cut_payloads,
     estimate_bytes,
     estimate_bytes_sampled,
     plan_batches,
@@ -46,6 +47,7 @@ from objsync.plans.stage import check_staged, payloads, stage_batches
 from objsync.plans.tables import (
     create_empty_table,
     register_extract,
+    replace_extract,
     save_extract,
     save_table,
 )
@@ -65,6 +67,7 @@ __all__ = [
     "csv_line",
     "csv_value",
     "cut_batches",
+    "cut_payloads",
     "dataset_manifest",
     "encode_fields",
     "error_summary",
@@ -92,6 +95,7 @@ __all__ = [
     "read_pages",
     "read_result_sets",
     "register_extract",
+    "replace_extract",
     "result_summary",
     "row_bytes",
     "row_positions",

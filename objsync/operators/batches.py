@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from objsync.functions.text import csv_line, quoted, row_bytes
+from objsync.functions.text import csv_header, csv_line, quoted, row_bytes
 from objsync.operators.positions import place_rows, range_sorted, row_positions
 
 # Batch limits.
@@ -150,28 +150,134 @@ def cut_batches(
     should be of like size, as each is streamed through one task.
     """
     sized = df.withColumn(_SIZE, row_bytes(csv_line(df)) + 1)
-    if shard is None:
-        ordered = range_sorted(sized, order_by, unique_order, partitions).withColumn(
-            "shard", F.spark_partition_id().cast("bigint")
-        )
-    else:
-        keys = [F.col(quoted(k)) if isinstance(k, str) else k for k in order_by]
-        ordered = (
-            sized.withColumn("shard", F.coalesce(shard.cast("bigint"), F.lit(0)))
-            .repartition("shard")
-            .sortWithinPartitions("shard", *keys)
-        )
+    ordered = _in_shards(sized, order_by, shard, unique_order, partitions)
     schema = T.StructType(
         [f for f in ordered.schema.fields if f.name != _SIZE]
         + [T.StructField("seq", T.LongType(), False)]
     )
+    new_counter = _greedy_counter(max_rows, max_bytes, header_bytes)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_shard, seq, rows, used = None, 0, 0, header_bytes
+        number = new_counter()
         for batch in batches:
             index = batch.schema.get_field_index
-            ends = np.cumsum(batch.column(index(_SIZE)).to_numpy())
-            shards = batch.column(index("shard")).to_numpy()
+            numbers = number(
+                batch.column(index(_SIZE)).to_numpy(),
+                batch.column(index("shard")).to_numpy(),
+            )
+            kept = [n for n in batch.schema.names if n != _SIZE]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(index(n)) for n in kept], pa.array(numbers)],
+                names=[*kept, "seq"],
+            )
+
+    return ordered.mapInArrow(fill, schema)
+
+
+def cut_payloads(
+    df: DataFrame,
+    order_by: list[str],
+    max_rows: int = CUT_MAX_ROWS,
+    max_bytes: int = CUT_MAX_BYTES,
+    shard: Column | None = None,
+    unique_order: bool = False,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Batches cut as by ``cut_batches``: ``(shard, seq, n_rows, n_bytes, payload)``.
+
+    Each payload is the header line and the rows' lines. Rows are shuffled once and
+    a task holds the lines of the open batch only, so this is the cheapest way to
+    batch a large table, with strict limits.
+    """
+    header = csv_header(df.schema)
+    keys = {f"_key{i}": df[quoted(name)] for i, name in enumerate(order_by)}
+    line = csv_line(df)
+    encoded = df.select(
+        *[column.alias(name) for name, column in keys.items()],
+        *([] if shard is None else [shard.alias("_shard")]),
+        line.alias("line"),
+        (row_bytes(line) + 1).alias(_SIZE),
+    )
+    ordered = _in_shards(
+        encoded,
+        list(keys),
+        None if shard is None else F.col("_shard"),
+        unique_order,
+        partitions,
+    ).select("shard", "line", _SIZE)
+    new_counter = _greedy_counter(max_rows, max_bytes, len(header.encode()) + 1)
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = new_counter()
+        open_batch, lines = None, []
+
+        def payload() -> pa.RecordBatch:
+            text = "\n".join([header, *lines])
+            return pa.RecordBatch.from_pydict(
+                {
+                    "shard": [open_batch[0]],
+                    "seq": [open_batch[1]],
+                    "n_rows": [len(lines)],
+                    "n_bytes": [len(text.encode())],
+                    "payload": [text],
+                }
+            )
+
+        for batch in batches:
+            shards = batch.column(0).to_numpy()
+            numbers = number(batch.column(2).to_numpy(), shards)
+            changes = (np.diff(numbers) != 0) | (np.diff(shards) != 0)
+            starts = [0, *(np.flatnonzero(changes) + 1).tolist()]
+            for start, stop in zip(starts, [*starts[1:], len(numbers)]):
+                if stop == start:
+                    continue
+                found = (int(shards[start]), int(numbers[start]))
+                if found != open_batch:
+                    if lines:
+                        yield payload()
+                    open_batch, lines = found, []
+                lines += batch.column(1).slice(start, stop - start).to_pylist()
+        if lines:
+            yield payload()
+
+    return ordered.mapInArrow(
+        assemble,
+        "shard bigint, seq bigint, n_rows bigint, n_bytes bigint, payload string",
+    )
+
+
+def _in_shards(
+    sized: DataFrame,
+    order_by: list[str | Column],
+    shard: Column | None,
+    unique_order: bool,
+    partitions: int | None,
+) -> DataFrame:
+    if shard is None:
+        return range_sorted(sized, order_by, unique_order, partitions).withColumn(
+            "shard", F.spark_partition_id().cast("bigint")
+        )
+    keys = [F.col(quoted(k)) if isinstance(k, str) else k for k in order_by]
+    return (
+        sized.withColumn("shard", F.coalesce(shard.cast("bigint"), F.lit(0)))
+        .repartition("shard")
+        .sortWithinPartitions("shard", *keys)
+    )
+
+
+def _greedy_counter(max_rows: int, max_bytes: int, header_bytes: int):
+    """Makes, for each task, a function that numbers the rows of one chunk.
+
+    It remembers the batch that is open from one chunk to the next, and steps from
+    batch to batch rather than from row to row.
+    """
+
+    def new_counter():
+        open_shard, seq, rows, used = None, 0, 0, header_bytes
+
+        def number(sizes: np.ndarray, shards: np.ndarray) -> np.ndarray:
+            nonlocal open_shard, seq, rows, used
+            ends = np.cumsum(sizes)
             numbers = np.empty(len(ends), dtype=np.int64)
             at = 0
             while at < len(ends):
@@ -192,10 +298,8 @@ def cut_batches(
                 rows += stop - at
                 used += int(ends[stop - 1]) - start
                 at = stop
-            kept = [n for n in batch.schema.names if n != _SIZE]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(index(n)) for n in kept], pa.array(numbers)],
-                names=[*kept, "seq"],
-            )
+            return numbers
 
-    return ordered.mapInArrow(fill, schema)
+        return number
+
+    return new_counter

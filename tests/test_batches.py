@@ -232,6 +232,37 @@ def test_cut_matches_brute_force(spark, arrow_rows, max_rows, max_bytes, header)
             assert [r["seq"] for r in members] == greedy(sizes, max_rows, max_bytes, header)
 
 
+@pytest.mark.parametrize("arrow_rows", [3, 10000])
+@pytest.mark.parametrize("max_rows, max_bytes", [(7, 10**9), (10**6, 100), (3, 1)])
+def test_cut_payloads_match_the_cut(spark, arrow_rows, max_rows, max_bytes):
+    df = spark.range(300).select(
+        "id", F.repeat(F.lit("é"), (F.col("id") * 31 % 60).cast("int")).alias("t")
+    )
+    shard = F.expr("id div 110")
+    header = "id,t"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", arrow_rows)
+    try:
+        found = ob.cut_payloads(df, ["id"], max_rows, max_bytes, shard=shard).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = {}
+    for number in range(3):
+        ids = range(number * 110, min(number * 110 + 110, 300))
+        lines = [f"{i},{'é' * (i * 31 % 60)}" for i in ids]
+        sizes = [len(line.encode()) + 1 for line in lines]
+        for line, seq in zip(lines, greedy(sizes, max_rows, max_bytes, len(header) + 1)):
+            expected.setdefault((number, seq), [header]).append(line)
+    assert {(r["shard"], r["seq"]): r["payload"].split("\n") for r in found} == expected
+    for r in found:
+        assert r["n_rows"] == len(expected[r["shard"], r["seq"]]) - 1
+        assert r["n_bytes"] == len(r["payload"].encode())
+        assert r["n_bytes"] <= max_bytes or r["n_rows"] == 1
+
+
+def test_cut_payloads_of_nothing(spark):
+    assert ob.cut_payloads(spark.range(0), ["id"]).collect() == []
+
+
 def test_cut_of_copies(spark):
     """A key that holds every row still gives balanced shards within the caps."""
     df = spark.range(20000).select(F.lit("same").alias("k"))

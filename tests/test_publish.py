@@ -174,3 +174,17 @@ def test_tables(spark, tmp_path):
     ob.create_empty_table(df, "outside", str(tmp_path / "outside"))
     assert spark.table("outside").count() == 0
     spark.sql("DROP TABLE outside")
+
+
+def test_replacing_a_table_by_its_own_rows(spark, tmp_path):
+    path = str(tmp_path / "versions")
+    ob.save_extract(spark.range(5), f"{path}/first")
+    ob.register_extract(spark, "versioned", f"{path}/first")
+    ob.replace_extract(spark.table("versioned").where("id > 2"), "versioned", path)
+    assert sorted(r["id"] for r in spark.table("versioned").collect()) == [3, 4]
+    broken = spark.table("versioned").select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        ob.replace_extract(broken, "versioned", path)
+    assert spark.table("versioned").count() == 2
+    spark.sql("DROP TABLE versioned")
+    assert spark.read.parquet(f"{path}/first").count() == 5
