@@ -32,9 +32,12 @@ def csv_value(text: Column) -> Column:
 
 
 def csv_line(df: DataFrame) -> Column:
-    """All columns of ``df`` as one CSV line."""
+    """All columns of ``df`` as one CSV line.
+
+    The columns are taken by name, so it also fits what ``df`` is turned into.
+    """
     fields = df.schema.fields
-    values = [csv_value(plain_text(df[quoted(f.name)], f.dataType)) for f in fields]
+    values = [csv_value(plain_text(F.col(quoted(f.name)), f.dataType)) for f in fields]
     if len(values) == 1:
         # a lone empty value would be an empty line, which CSV readers skip
         return F.when(values[0] == "", '""').otherwise(values[0])

@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from objsync.functions.text import csv_header, csv_line, quoted, row_bytes
-from objsync.operators.positions import place_rows, range_sorted, row_positions
+from objsync.operators.positions import (
+    WEIGHT,
+    place_rows,
+    range_sorted,
+    row_positions,
+)
 
 # Batch limits.
 TARGET_BATCH_BYTES = 10 * 1024 * 1024
@@ -70,6 +75,7 @@ def plan_batches(
     max_bytes: int = TARGET_BATCH_BYTES,
     size: Column | None = None,
     unique_order: bool = False,
+    keep: list[Column] | None = None,
 ) -> DataFrame:
     """``df`` with ``batch_no`` from 1, ``row_index`` and ``n_bytes`` of the row.
 
@@ -78,16 +84,20 @@ def plan_batches(
     one row, whatever the keys look like, and a total just above ``k * max_bytes``
     gives ``k + 1`` batches. The number is a function of the data alone. Numbers run
     without a gap, also where single rows are larger than a batch.
+
+    ``keep`` replaces the columns of ``df`` in the result; ``size`` may refer to it.
     """
+    if keep is None:
+        keep = [F.col(quoted(c)) for c in df.columns]
     size = row_bytes(csv_line(df)) if size is None else size
-    sized = df.withColumn("n_bytes", size.cast("bigint"))
     placed, largest = place_rows(
-        sized, order_by, weight=F.col("n_bytes"), unique_order=unique_order
+        df, order_by, keep, weight=size, unique_order=unique_order
     )
+    added = ("row_index", "weight_before", WEIGHT)
     batch_no = F.call_function("div", F.col("weight_before"), F.lit(max_bytes)) + 1
     planned = placed.select(
-        *[F.col(quoted(c)) for c in df.columns],
-        "n_bytes",
+        *[F.col(quoted(c)) for c in placed.columns if c not in added],
+        F.col(WEIGHT).alias("n_bytes"),
         "row_index",
         batch_no.alias("batch_no"),
     )
@@ -110,21 +120,61 @@ def batch_payloads(planned: DataFrame, header: str | None = None) -> DataFrame:
     """One row per batch: ``(batch_no, n_rows, n_bytes, payload)``.
 
     ``planned`` holds ``batch_no``, ``row_index`` and ``line``. The payload starts
-    with ``header`` if there is one, then a newline and the lines in row order. A
-    task holds one batch, whose size ``plan_batches`` bounds.
+    with ``header`` if there is one, then a newline and the lines in row order. Rows
+    are sorted by batch, so that a task holds the lines of one batch at a time.
     """
-    lines = F.sort_array(F.collect_list(F.struct("row_index", "line")))["line"]
-    text = F.concat(F.lit((header or "") + "\n"), F.array_join(lines, "\n"))
-    return (
-        planned.groupBy("batch_no")
-        .agg(F.count("*").alias("n_rows"), text.alias("payload"))
-        .select(
-            "batch_no",
-            "n_rows",
-            F.octet_length("payload").cast("bigint").alias("n_bytes"),
-            "payload",
-        )
+    ordered = (
+        planned.select("batch_no", "row_index", "line")
+        .repartition("batch_no")
+        .sortWithinPartitions("batch_no", "row_index")
+        .select("batch_no", "line")
     )
+    new_collector = _payload_collector(["batch_no"], header or "")
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        add, last = new_collector()
+        for batch in batches:
+            yield from add([batch.column(0).to_numpy()], batch.column(1))
+        yield from last()
+
+    return ordered.mapInArrow(
+        assemble, "batch_no bigint, n_rows bigint, n_bytes bigint, payload string"
+    )
+
+
+def _payload_collector(names: list[str], header: str):
+    """Makes, for each task, a function that takes the rows of one chunk and one that
+    closes the last batch; both give the payloads that are then complete.
+
+    Rows of a batch follow each other, told apart by the columns called ``names``.
+    """
+
+    def new_collector():
+        found, lines = None, []
+
+        def last():
+            if found is not None:
+                text = "\n".join([header, *lines])
+                record = dict(zip(names, found))
+                record.update(n_rows=len(lines), n_bytes=len(text.encode()), payload=text)
+                yield pa.RecordBatch.from_pylist([record])
+
+        def add(keys: list[np.ndarray], chunk: pa.Array):
+            nonlocal found, lines
+            changed = np.zeros(max(len(chunk) - 1, 0), dtype=bool)
+            for key in keys:
+                changed |= np.diff(key) != 0
+            starts = [0, *(np.flatnonzero(changed) + 1).tolist()] if len(chunk) else []
+            for start, stop in zip(starts, [*starts[1:], len(chunk)]):
+                here = [int(key[start]) for key in keys]
+                if here != found:
+                    yield from last()
+                    found, lines = here, []
+                lines += chunk.slice(start, stop - start).to_pylist()
+
+        return add, last
+
+    return new_collector
 
 
 def cut_batches(
@@ -149,8 +199,9 @@ def cut_batches(
     twice. A ``shard`` column makes the cut a function of the data; its shards
     should be of like size, as each is streamed through one task.
     """
-    sized = df.withColumn(_SIZE, row_bytes(csv_line(df)) + 1)
-    ordered = _in_shards(sized, order_by, shard, unique_order, partitions)
+    ordered = _in_shards(df, order_by, shard, unique_order, partitions).withColumn(
+        _SIZE, row_bytes(csv_line(df)) + 1
+    )
     schema = T.StructType(
         [f for f in ordered.schema.fields if f.name != _SIZE]
         + [T.StructField("seq", T.LongType(), False)]
@@ -190,55 +241,24 @@ def cut_payloads(
     batch a large table, with strict limits.
     """
     header = csv_header(df.schema)
-    keys = {f"_key{i}": df[quoted(name)] for i, name in enumerate(order_by)}
-    line = csv_line(df)
-    encoded = df.select(
-        *[column.alias(name) for name, column in keys.items()],
-        *([] if shard is None else [shard.alias("_shard")]),
-        line.alias("line"),
-        (row_bytes(line) + 1).alias(_SIZE),
+    # encoded once the rows are in order, as sampling evaluates what is before
+    ordered = (
+        _in_shards(df, order_by, shard, unique_order, partitions)
+        .select("shard", csv_line(df).alias("line"))
+        .withColumn(_SIZE, row_bytes(F.col("line")) + 1)
     )
-    ordered = _in_shards(
-        encoded,
-        list(keys),
-        None if shard is None else F.col("_shard"),
-        unique_order,
-        partitions,
-    ).select("shard", "line", _SIZE)
     new_counter = _greedy_counter(max_rows, max_bytes, len(header.encode()) + 1)
 
+    new_collector = _payload_collector(["shard", "seq"], header)
+
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = new_counter()
-        open_batch, lines = None, []
-
-        def payload() -> pa.RecordBatch:
-            text = "\n".join([header, *lines])
-            return pa.RecordBatch.from_pydict(
-                {
-                    "shard": [open_batch[0]],
-                    "seq": [open_batch[1]],
-                    "n_rows": [len(lines)],
-                    "n_bytes": [len(text.encode())],
-                    "payload": [text],
-                }
-            )
-
+        add, last = new_collector()
         for batch in batches:
             shards = batch.column(0).to_numpy()
             numbers = number(batch.column(2).to_numpy(), shards)
-            changes = (np.diff(numbers) != 0) | (np.diff(shards) != 0)
-            starts = [0, *(np.flatnonzero(changes) + 1).tolist()]
-            for start, stop in zip(starts, [*starts[1:], len(numbers)]):
-                if stop == start:
-                    continue
-                found = (int(shards[start]), int(numbers[start]))
-                if found != open_batch:
-                    if lines:
-                        yield payload()
-                    open_batch, lines = found, []
-                lines += batch.column(1).slice(start, stop - start).to_pylist()
-        if lines:
-            yield payload()
+            yield from add([shards, numbers], batch.column(1))
+        yield from last()
 
     return ordered.mapInArrow(
         assemble,
@@ -247,19 +267,19 @@ def cut_payloads(
 
 
 def _in_shards(
-    sized: DataFrame,
+    df: DataFrame,
     order_by: list[str | Column],
     shard: Column | None,
     unique_order: bool,
     partitions: int | None,
 ) -> DataFrame:
     if shard is None:
-        return range_sorted(sized, order_by, unique_order, partitions).withColumn(
+        return range_sorted(df, order_by, unique_order, partitions).withColumn(
             "shard", F.spark_partition_id().cast("bigint")
         )
     keys = [F.col(quoted(k)) if isinstance(k, str) else k for k in order_by]
     return (
-        sized.withColumn("shard", F.coalesce(shard.cast("bigint"), F.lit(0)))
+        df.withColumn("shard", F.coalesce(shard.cast("bigint"), F.lit(0)))
         .repartition("shard")
         .sortWithinPartitions("shard", *keys)
     )

@@ -94,25 +94,33 @@ def row_positions(
     With ``weight``, a non-negative whole number per row, also ``weight_before``:
     the sum of the weights of all earlier rows.
     """
-    return place_rows(df, order_by, weight, unique_order, partitions)[0]
+    placed, _ = place_rows(df, order_by, None, weight, unique_order, partitions)
+    return placed.drop(WEIGHT)
 
 
 def place_rows(
     df: DataFrame,
     order_by: list[str | Column],
+    keep: list[Column] | None = None,
     weight: Column | None = None,
     unique_order: bool = False,
     partitions: int | None = None,
 ) -> tuple[DataFrame, int]:
-    """The positions as ``row_positions`` gives them, and the largest weight."""
+    """Rows with their positions, as ``row_positions`` gives them, and their weight;
+    and the largest weight.
+
+    ``keep`` replaces the columns of ``df`` in the result. It and ``weight``, which
+    may refer to it, are computed when the rows are in order: sampling for the range
+    bounds evaluates ``df`` itself, and should not evaluate them as well.
+    """
     spark = df.sparkSession
-    names = df.columns
-    ranged = range_sorted(
-        df if weight is None else df.withColumn(WEIGHT, weight.cast("bigint")),
-        order_by,
-        unique_order,
-        partitions,
-    ).select(
+    ranged = range_sorted(df, order_by, unique_order, partitions)
+    if keep is not None:
+        ranged = ranged.select(*keep)
+    names = ranged.columns
+    if weight is not None:
+        ranged = ranged.withColumn(WEIGHT, weight.cast("bigint"))
+    ranged = ranged.select(
         "*",
         F.spark_partition_id().alias(PART),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_BITS)).alias(PLACE),
@@ -141,7 +149,8 @@ def place_rows(
         (F.col("_rows_before") + F.col(PLACE)).alias("row_index"),
     ]
     if weight is not None:
-        columns.append((F.col("_weight_before") + F.col(TOTAL)).alias("weight_before"))
+        before = F.col("_weight_before") + F.col(TOTAL)
+        columns += [before.alias("weight_before"), F.col(WEIGHT)]
     placed = stored.join(F.broadcast(offsets), PART).select(*columns)
     largest = max((r["largest"] for r in parts), default=0) if weight is not None else 0
     return placed, largest

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from objsync.functions.text import csv_header, csv_line, quoted, row_bytes
+from objsync.functions.text import csv_header, csv_line, row_bytes
 from objsync.operators.batches import TARGET_BATCH_BYTES, batch_payloads, plan_batches
 
 
@@ -18,15 +18,15 @@ def payloads(
 ) -> DataFrame:
     """``df`` as upload batches: ``(batch_no, n_rows, n_bytes, payload)``.
 
-    Rows are encoded once; only the order columns and the line are shuffled.
+    Rows are brought in order, encoded once, and then gathered by batch.
     """
-    keys = {f"_key{i}": df[quoted(name)] for i, name in enumerate(order_by)}
-    encoded = df.select(
-        *[column.alias(name) for name, column in keys.items()],
-        csv_line(df).alias("line"),
-    )
     planned = plan_batches(
-        encoded, list(keys), max_bytes, row_bytes(F.col("line")), unique_order
+        df,
+        order_by,
+        max_bytes,
+        size=row_bytes(F.col("line")),
+        unique_order=unique_order,
+        keep=[csv_line(df).alias("line")],
     )
     return batch_payloads(planned, csv_header(df.schema) if header else None)
 
