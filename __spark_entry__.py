@@ -193,8 +193,11 @@ def read_result_sets_known_header(spark, sf_dir):
 PAGE_ROWS = 200
 
 
-def land_pages(spark: SparkSession, sf_dir: str) -> str:
-    """The customers as JSON page documents, one per line."""
+def land_pages(spark: SparkSession, sf_dir: str, nested: bool = False) -> str:
+    """The customers as JSON page documents, one per line.
+
+    ``nested`` gives the layout of an analytics response: records below results.
+    """
     customers = customer_text(spark, sf_dir).withColumn(
         "_key", F.col("c_custkey").cast("bigint")
     )
@@ -207,10 +210,12 @@ def land_pages(spark: SparkSession, sf_dir: str) -> str:
         ob.paginate(customers, ["_key"], PAGE_ROWS, unique_order=True)
         .groupBy("page_no")
         .agg(F.collect_list(record).alias("records"))
-        .select(
-            F.to_json(F.struct((F.col("page_no") == last).alias("done"), "records"))
-        )
+        .withColumn("done", F.col("page_no") == last)
     )
+    page = F.struct("done", "records")
+    if nested:
+        page = F.struct(F.struct("records").alias("results"))
+    pages = pages.select(F.to_json(page))
     path = new_run_dir(spark, "pages")
     pages.write.text(path)
     return path
@@ -222,6 +227,20 @@ def read_pages(spark, sf_dir):
     return ob.page_records(pages)
 
 
+@query(f'SELECT c_name AS "Name", c_mktsegment AS "Email" FROM ({_CUSTOMER_TEXT_SQL})')
+def read_analytics_pages(spark, sf_dir):
+    """Analytics responses: records below another member, and no done flag."""
+    path = land_pages(spark, sf_dir, nested=True)
+    pages = ob.read_pages(
+        spark, path, ["c_name", "c_mktsegment"], "results.records", multi_line=False
+    )
+    return ob.query_objects(
+        spark,
+        {"q": ob.page_records(pages)},
+        "select c_name as Name, c_mktsegment as Email from q",
+    )
+
+
 @query(f"SELECT c_custkey, c_name, c_acctbal FROM ({_CUSTOMER_TEXT_SQL})")
 def read_pages_known_columns(spark, sf_dir):
     path = land_pages(spark, sf_dir)

@@ -12,6 +12,27 @@ from objsync.functions.text import quoted
 RECORD_ATTRIBUTES = "attributes"
 
 
+def _page_schema(types: dict[str, T.DataType]) -> T.StructType:
+    """The schema that holds each type at its dotted path."""
+    tops: dict[str, dict[str, T.DataType]] = {}
+    for path, data_type in types.items():
+        top, _, rest = path.partition(".")
+        tops.setdefault(top, {})[rest] = data_type
+    return T.StructType(
+        [
+            T.StructField(top, below[""] if "" in below else _page_schema(below))
+            for top, below in tops.items()
+        ]
+    )
+
+
+def _has_path(data_type: T.DataType, path: str) -> bool:
+    top, _, rest = path.partition(".")
+    if not isinstance(data_type, T.StructType) or top not in data_type.names:
+        return False
+    return not rest or _has_path(data_type[top].dataType, rest)
+
+
 def read_pages(
     spark: SparkSession,
     path: str | list[str],
@@ -22,28 +43,30 @@ def read_pages(
 ) -> DataFrame:
     """Page documents below ``path``: ``(done, records)``, one row per page.
 
-    Record values are text, a nested value its JSON text. With ``columns`` the pages are parsed to just those
-    fields and nothing is read ahead; without, one extra pass finds the fields.
+    Both fields may be dotted paths into the document, such as ``results.records``;
+    a response that has no done flag gives null. Record values are text, a nested
+    value its JSON text. With ``columns`` the pages are parsed to just those fields
+    and nothing is read ahead; without, one extra pass finds the fields.
     ``multi_line=False`` reads files with one page per line, which Spark can split.
     """
     reader = spark.read.option("primitivesAsString", True).option("multiLine", multi_line)
     if columns is not None:
         record = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        reader = reader.schema(
-            T.StructType(
-                [
-                    T.StructField(done_field, T.StringType()),
-                    T.StructField(records_field, T.ArrayType(record)),
-                ]
-            )
-        )
+        types = {done_field: T.StringType(), records_field: T.ArrayType(record)}
+        reader = reader.schema(_page_schema(types))
     pages = reader.json(path)
+    done = F.lit(None).cast("boolean")
+    if _has_path(pages.schema, done_field):
+        done = F.lower(F.col(_path_name(done_field))) == "true"
     return pages.select(
-        (F.lower(F.col(quoted(done_field))) == "true").alias("done"),
-        F.col(quoted(records_field)).alias("records"),
+        done.alias("done"), F.col(_path_name(records_field)).alias("records")
     )
 
 
+def _path_name(path: str) -> str:
+    return ".".join(quoted(part) for part in path.split("."))
+
+
 def page_records(pages: DataFrame) -> DataFrame:
     """The records of all pages, one row each, every field text."""
     record = pages.schema["records"].dataType.elementType

@@ -142,6 +142,26 @@ def test_other_member_names(spark, tmp_path):
     assert pages.first()["done"] is True
 
 
+@pytest.mark.parametrize("columns", [None, ["Name", "Email"]])
+def test_single_response_with_nested_records(spark, tmp_path, columns):
+    response = {
+        "action": "query",
+        "results": {"records": [{"Name": "n", "Email": "e"}, {"Name": "m"}]},
+    }
+    path = land_pages(tmp_path / "single", [response])
+    pages = ob.read_pages(spark, path, columns, records_field="results.records")
+    found = ob.page_records(pages).select("Name", "Email").collect()
+    assert sorted(map(tuple, found)) == [("m", None), ("n", "e")]
+    assert pages.first()["done"] is None
+
+
+def test_both_fields_below_one_member(spark, tmp_path):
+    path = land_pages(tmp_path / "below", [{"r": {"last": True, "rows": [{"a": 1}]}}])
+    pages = ob.read_pages(spark, path, ["a"], records_field="r.rows", done_field="r.last")
+    assert pages.first()["done"] is True
+    assert rows(ob.page_records(pages)) == [("1",)]
+
+
 def test_query_leaves_no_view(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
     result = ob.query_objects(spark, {"account": df}, "select id from account where id > 1")

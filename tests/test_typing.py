@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import math
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import objsync as ob
+from objsync.functions import casts
 
 BAD = object()
 
@@ -187,6 +189,46 @@ def test_inference_ignores_order_and_partitioning(spark, partitions):
     assert [f.dataType.simpleString() for f in ob.infer_schema(df)] == expected
 
 
+def class_bit(text: str) -> int:
+    """The class of one value, by plain Python."""
+    number = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+    if re.fullmatch(r"[+-]?[0-9]+", text):
+        value = int(text)
+        if -(2**31) <= value < 2**31:
+            return casts.INT_BIT
+        return casts.LONG_BIT if -(2**63) <= value < 2**63 else casts.DOUBLE_BIT
+    if re.fullmatch(number, text) or re.fullmatch(r"[+-]?(NaN|Infinity)", text):
+        return casts.DOUBLE_BIT
+    parts = re.fullmatch(
+        r"([0-9]{4})-([0-9]{1,2})-([0-9]{1,2}) ([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})"
+        r"(\.[0-9]{1,9})?",
+        text,
+    )
+    if parts:
+        try:
+            datetime.datetime(*map(int, parts.groups()[:6]))
+            return casts.TIMESTAMP_BIT
+        except ValueError:
+            pass
+    return casts.TEXT_BIT
+
+
+def test_value_classes_match_plain_python(spark):
+    random_text = random.Random(7)
+    pieces = [
+        "0", "7", "12", "345678901", "+", "-", ".", "e", "E5", "NaN", "Infinity", " ", ":",
+        "2016-02-", "29", "30", "-1-", "2016", " 1:2:3", " 23:59:59", " 24:00:00", ".5", "x",
+        "\n", "9" * 12, "é",
+    ]
+    values = {
+        "".join(random_text.choices(pieces, k=random_text.randint(1, 4))) for _ in range(6000)
+    }
+    values |= {str(sign * 2**bits + off) for sign in (1, -1) for bits in (31, 63) for off in (-1, 0, 1)}
+    df = spark.createDataFrame([(v,) for v in sorted(values)], "v string")
+    found = df.select("v", casts.type_bit(F.col("v")).alias("bit")).collect()
+    assert {r["v"]: r["bit"] for r in found} == {v: class_bit(v) for v in values}
+
+
 def test_inference_of_no_rows(spark):
     empty = spark.createDataFrame([], "a string, b string")
     assert [f.dataType for f in ob.infer_schema(empty)] == [T.StringType()] * 2
