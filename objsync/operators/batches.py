@@ -43,8 +43,9 @@ def estimate_bytes_sampled(
     The sample stands for ``n_rows / sample_rows`` times its size, in whole
     numbers. A table no larger than the sample is measured exactly.
     """
-    sizes = df.select(row_bytes(csv_line(df)).alias("b"))
-    sample = sizes.orderBy(F.rand(seed)).limit(sample_rows).agg(
+    # only the rows that are drawn are encoded
+    drawn = df.orderBy(F.rand(seed)).limit(sample_rows)
+    sample = drawn.select(row_bytes(csv_line(df)).alias("b")).agg(
         F.coalesce(F.sum("b"), F.lit(0)).alias("sample_bytes")
     )
     total = df.agg(F.count("*").alias("n_rows"))

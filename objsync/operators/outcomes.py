@@ -9,7 +9,10 @@ from objsync.functions.text import quoted
 
 NULL_RULES = ("error", "keep", "set")
 
-# Outcome columns and batch states.
+# rows made from one count by one task
+UNFOLD_CHUNK = 10_000
+
+# Batch states.
 COMPLETED, FAILED = "Completed", "Failed"
 
 
@@ -35,8 +38,12 @@ def update_by_key(
     A key that occurs more than once in ``updates`` changes nothing, as it is not
     defined which row should win; ``update_results`` reports it. A null in an
     update fails the job (``error``), leaves the old value (``keep``) or is stored
-    (``set``). Updates are reduced to one row per key before the join, and the join
-    reuses that partitioning.
+    (``set``).
+
+    Updates are reduced to one row per key, partly before they are shuffled. The join
+    is on the key as a struct, which is not how the reduced updates are partitioned:
+    both sides then come to it from a shuffle of their own, and only then can Spark
+    split a key that holds many target rows (adaptive skew join).
     """
     _null_rule(nulls)
     changed = _changed_columns(target, updates, key)
@@ -57,7 +64,10 @@ def update_by_key(
         .select("_key", "_new")
     )
     old = target.alias("t")
-    joined = old.join(single, F.col(f"t.{quoted(key)}") == F.col("_key"), "left")
+    same_key = F.struct(F.col(f"t.{quoted(key)}").alias("k")) == F.struct(
+        F.col("_key").alias("k")
+    )
+    joined = old.join(single, same_key, "left")
     matched = F.col("_key").isNotNull()
     columns = []
     for name in target.columns:
@@ -80,44 +90,59 @@ def update_results(
 ) -> DataFrame:
     """One ``(Id, Success, Created, Error)`` row per row of ``updates``.
 
-    Keys are counted before anything is joined, and only refused keys are joined
-    back, so the join carries one row per bad key. A key that holds much of the
-    updates is split by Spark's adaptive skew join.
+    The outcome of a row depends on its key and on whether it holds a null, so the
+    rows of each key are counted first, and only counts are shuffled and joined. A
+    count is then unfolded into its rows, in chunks that are spread over the tasks:
+    a key that holds many of the updates is never in one place.
     """
     _null_rule(nulls)
     changed = _changed_columns(target, updates, key)
+    has_null = F.lit(False)
+    if nulls == "error":
+        for name in changed:
+            has_null = has_null | F.col(quoted(name)).isNull()
     key_col = F.col(quoted(key))
-    counted = (
-        updates.where(key_col.isNotNull())
-        .groupBy(key_col.alias("_key"))
-        .agg(F.count("*").alias("_rows"))
+    counted = updates.groupBy(key_col.alias("_key")).agg(
+        F.count("*").alias("_of_key"), F.count_if(has_null).alias("_nulls")
     )
     known = (
         target.where(key_col.isNotNull())
         .groupBy(key_col.alias("_known"))
         .agg(F.count("*").alias("_target_rows"))
     )
-    refused = (
-        counted.join(known, F.col("_key") == F.col("_known"), "left")
-        .where(F.col("_known").isNull() | (F.col("_rows") > 1))
-        .select(
-            F.col("_key").alias("_refused"),
-            F.when(F.col("_rows") > 1, "duplicate key in the update")
-            .otherwise("no row with this key")
-            .alias("_reason"),
-        )
+    refusal = (
+        F.when(F.col("_key").isNull(), "key is missing")
+        .when(F.col("_of_key") > 1, "duplicate key in the update")
+        .when(F.col("_known").isNull(), "no row with this key")
     )
-    error = F.when(key_col.isNull(), "key is missing").otherwise(F.col("_reason"))
-    if nulls == "error" and changed:
-        any_null = F.lit(False)
-        for name in changed:
-            any_null = any_null | F.col(quoted(name)).isNull()
-        error = F.coalesce(error, F.when(any_null, "null value in the update"))
-    return updates.join(refused, key_col == F.col("_refused"), "left").select(
-        key_col.alias("Id"),
-        error.isNull().alias("Success"),
+    whole = F.coalesce(refusal, F.lit(""))
+    nulled = F.coalesce(refusal, F.lit("null value in the update"))
+    outcomes = counted.join(known, F.col("_key") == F.col("_known"), "left").select(
+        F.col("_key"),
+        F.inline(
+            F.array(
+                F.struct(whole.alias("_error"), (F.col("_of_key") - F.col("_nulls")).alias("_n")),
+                F.struct(nulled.alias("_error"), F.col("_nulls").alias("_n")),
+            )
+        ),
+    )
+    return _unfold(outcomes.where(F.col("_n") > 0)).select(
+        F.col("_key").alias("Id"),
+        (F.col("_error") == "").alias("Success"),
         F.lit(False).alias("Created"),
-        F.coalesce(error, F.lit("")).alias("Error"),
+        F.col("_error").alias("Error"),
+    )
+
+
+def _unfold(counts: DataFrame) -> DataFrame:
+    """Each row ``_n`` times, made in chunks that are spread over the tasks."""
+    last_chunk = F.call_function("div", F.col("_n") - 1, F.lit(UNFOLD_CHUNK))
+    chunks = counts.select(
+        "_key", "_error", "_n", F.explode(F.sequence(F.lit(0), last_chunk)).alias("_chunk")
+    ).repartition("_key", "_chunk")
+    size = F.least(F.lit(UNFOLD_CHUNK), F.col("_n") - F.col("_chunk") * UNFOLD_CHUNK)
+    return chunks.select(
+        "_key", "_error", F.explode(F.array_repeat(F.lit(0), size.cast("int")))
     )
 
 

@@ -97,10 +97,11 @@ def apply_schema(
 ) -> DataFrame:
     """String records as typed rows, in one projection.
 
-    ``strict`` fails the job on a value that does not parse. ``permissive`` gives
-    null instead and, with ``rejects_col``, adds an array of the refused values,
-    so typed rows and rejects come from the same pass. String fields listed in
-    ``encode_fields`` are URL form-encoded.
+    ``strict`` fails the job on a value that does not parse; a column that nothing
+    reads is not parsed, nor checked. ``permissive`` gives null instead and, with
+    ``rejects_col``, adds an array of the refused values, so typed rows and rejects
+    come from the same pass. String fields listed in ``encode_fields`` are URL
+    form-encoded.
     """
     if mode not in ("strict", "permissive"):
         raise ValueError(f"mode must be strict or permissive, not {mode!r}")

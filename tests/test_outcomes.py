@@ -97,6 +97,35 @@ def test_a_hot_key(spark, target):
     assert counts == {"duplicate key in the update": 13333, "no row with this key": 6667}
 
 
+def test_a_hot_key_in_the_target_is_split(spark):
+    """Rows without a key share one join partition, which Spark may split."""
+    hot = spark.range(0, 200000, 1, 8).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 60000).alias("Id"),
+        F.md5(F.col("id").cast("string")).alias("d"),
+    )
+    changes = spark.range(30000).select(F.col("id").alias("Id"), F.lit("new").alias("d"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        after = ob.update_by_key(hot, changes, "Id")
+        rows = after.collect()
+        plan = after._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in conf:
+            spark.conf.unset(name)
+    assert "skew=true" in plan
+    assert len(rows) == 200000
+    expected = hot.where("Id < 30000").count()
+    assert sum(r["d"] == "new" for r in rows) == expected
+
+
 def test_insert(spark, target):
     rows = spark.createDataFrame([("z", 9)], "Id string, n int")
     after = ob.insert_rows(target, rows)
