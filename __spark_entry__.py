@@ -7,6 +7,7 @@ query itself to the shared folder of the session.
 
 from __future__ import annotations
 
+import importlib.util
 import math
 import os
 import sys
@@ -45,12 +46,28 @@ def entry(spark: SparkSession) -> DataFrame:
     return typed_opportunities(spark, FLAGSHIP_DIR)
 
 
+def _of_llm():
+    """Queries and SQL of the ``llm`` subpackage and the pipeline; none if it is not there."""
+    try:
+        import corpus_pipeline
+        from objsync.llm import queries as llm
+    except ImportError:
+        if importlib.util.find_spec("objsync.llm") and importlib.util.find_spec("corpus_pipeline"):
+            raise
+        return {}, {}
+    pipeline_sql = corpus_pipeline.ORACLE_SQL
+    return (
+        {**llm.QUERIES, "pipeline": corpus_pipeline.run},
+        {**llm.ORACLES, **({"pipeline": pipeline_sql} if pipeline_sql else {})},
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_of_llm()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return {**_ORACLES, **_of_llm()[1]}
 
 
 # --------------------------------------------------------------------------- inputs
