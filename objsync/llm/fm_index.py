@@ -50,6 +50,10 @@ def _shared(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(same)
 
 
+#: For each place in a word, the bits below it.
+_BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
+
+
 class _Bits:
     """A packed bit vector with the number of ones before any place."""
 
@@ -58,13 +62,14 @@ class _Bits:
         padded[: len(bits)] = bits
         self.words = np.packbits(padded, bitorder="little").view(np.uint64)
         ones = np.bitwise_count(self.words).astype(np.int64)
-        self.before = np.concatenate(([0], np.cumsum(ones)[:-1]))
+        self.before = np.concatenate(([0], np.cumsum(ones)[:-1])).astype(np.int64)
         self.zeros = len(bits) - int(ones.sum())
 
     def rank(self, i: np.ndarray) -> np.ndarray:
         word = i >> 6
-        mask = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[word] + np.bitwise_count(self.words[word] & mask)
+        bits = self.words.take(word)
+        bits &= _BELOW.take(i & 63)
+        return self.before.take(word) + np.bitwise_count(bits)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         return (self.words[i >> 6] >> (i & 63).astype(np.uint64)) & np.uint64(1) != 0
@@ -100,7 +105,8 @@ class FMIndex:
     def _down(self, symbol: np.ndarray, i: np.ndarray) -> np.ndarray:
         for shift, bits in self.levels:
             ones = bits.rank(i)
-            i = np.where((symbol >> shift) & 1, bits.zeros + ones, i - ones)
+            one = (symbol >> shift & 1).astype(bool)
+            i = np.where(one, ones + bits.zeros, i - ones)
         return i
 
     def rank(self, symbol: np.ndarray, i: np.ndarray) -> np.ndarray:
@@ -113,14 +119,21 @@ class FMIndex:
         base = self.first[symbol]
         return base + both[: len(low)], base + both[len(low) :]
 
-    def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ranges of suffixes that start with each row of ``patterns``; empty: none."""
+    def search(self, patterns: np.ndarray, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """Ranges of suffixes that start with each row of ``patterns``; empty: none.
+
+        A pattern is given up, with the range it then has, once fewer than ``least``
+        suffixes are left.
+        """
         m, length = patterns.shape
-        low, high = np.zeros(m, dtype=np.int64), np.full(m, self.n, dtype=np.int64)
-        alive = np.arange(m)
-        for j in reversed(range(length)):
-            low[alive], high[alive] = self.step(patterns[alive, j], low[alive], high[alive])
-            alive = alive[low[alive] < high[alive]]
+        # a range for the last symbol is the counts' own
+        low = self.first[patterns[:, -1]] if length else np.zeros(m, dtype=np.int64)
+        high = self.first[patterns[:, -1] + 1] if length else np.full(m, self.n)
+        alive = np.flatnonzero(high - low >= least)
+        for j in reversed(range(length - 1)):
+            a, b = self.step(patterns[alive, j], low[alive], high[alive])
+            low[alive], high[alive] = a, b
+            alive = alive[b - a >= least]
         return low, np.maximum(low, high)
 
     def locate(self, rows: np.ndarray) -> np.ndarray:

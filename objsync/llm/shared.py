@@ -32,10 +32,10 @@ def bitmap(df: DataFrame, key: Column, max_bits: int = 1 << 26) -> np.ndarray:
         df.select(slot.alias("slot"))
         .groupBy(F.shiftright("slot", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
-        .toPandas()
+        .toArrow()
     )
     out = np.zeros(size // 64, dtype=np.uint64)
-    out[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return out
 
 

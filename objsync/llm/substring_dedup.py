@@ -29,19 +29,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .fm_index import FMIndex
 from .shared import bitmap, in_bitmap, written
-from .words import WHITE, Texts, blocks, encoded, mix, signed
+from .words import WHITE, Texts, blocks, encoded, mix, range_hashes, signed
 
 WINDOW = 13
 ANCHOR = 4
 WORD_BYTES = 6
 #: Different segments of one anchor from which its windows are spread over shards.
 SPLIT_FROM = 2000
-SHARD_WORDS = 1 << 19
+SHARD_WORDS = 1 << 15
 
 
 def _anchors(texts: Texts, window: int):
@@ -82,28 +83,22 @@ def _emit_anchors(window: int):
     def run(batches):
         for ids, _, texts in _each_block(batches):
             _, _, owner, anchor = _anchors(texts, window)
-            key = np.unique(np.stack((owner.astype(np.uint64), anchor), axis=1), axis=0)
             yield pa.RecordBatch.from_pydict(
-                {
-                    "anchor": signed(np.ascontiguousarray(key[:, 1])),
-                    "doc_id": ids.take(pa.array(key[:, 0].astype(np.int64))),
-                }
+                {"anchor": signed(anchor), "doc_id": ids.take(pa.array(owner))}
             )
 
     return run
 
 
 def _emit_segments(bits, window: int, with_words: bool):
-    """Segments whose anchor may be shared; equal ones of a block share their words."""
+    """Segments whose anchor may be shared."""
 
     def run(batches):
         for ids, _, texts in _each_block(batches):
             start, size, owner, anchor = _anchors(texts, window)
             keep = in_bitmap(bits.value, anchor)
             start, size, owner, anchor = start[keep], size[keep], owner[keep], anchor[keep]
-            first = texts.grams(window)[start]
-            last = texts.grams(window)[start + size - 1]
-            segment = mix(mix(first) ^ last ^ (size.astype(np.uint64) << np.uint64(40)) ^ mix(anchor))
+            segment = range_hashes(texts.hashes, start, start + size + window - 1)
             columns = {
                 "segment": signed(segment),
                 "anchor": signed(anchor),
@@ -148,17 +143,18 @@ def _search_shards(window: int):
         begin = np.repeat(to - sizes - 1, count) + np.arange(count.sum())
         begin -= np.repeat(np.cumsum(count) - count, count)
         # equal windows are searched once
-        code = np.zeros(len(begin), dtype=np.uint64)
-        for j in range(window):
-            code = mix(code * np.uint64(0xD6E8FEB86659FD93) + seq[begin + j].astype(np.uint64))
+        code = range_hashes(seq.astype(np.uint64), begin, begin + window)
         _, one_of, which = np.unique(code, return_index=True, return_inverse=True)
-        low, high = index.search(seq[begin[one_of][:, None] + np.arange(window)])
-        order = np.argsort(low)
-        # ranges of different windows are disjoint; a closing one ends the last range
-        edges = np.stack((low[order], high[order]), axis=1).ravel()
-        labels = np.append(index.labels, index.labels[:1])
-        smallest = np.empty(len(low), dtype=np.int64)
-        smallest[order] = np.minimum.reduceat(labels, edges)[::2]
+        # each window occurs: one with a single suffix left is at its own place alone
+        low, high = index.search(seq[begin[one_of][:, None] + np.arange(window)], least=2)
+        smallest = doc[begin[one_of]]
+        shared = np.flatnonzero(high - low > 1)
+        if len(shared):
+            shared = shared[np.argsort(low[shared])]
+            # ranges of different windows are disjoint; odd entries fill the gaps
+            edges = np.stack((low[shared], high[shared]), axis=1).ravel()
+            labels = np.append(index.labels, index.labels[:1])
+            smallest[shared] = np.minimum.reduceat(labels, edges)[::2]
         lists = pa.ListArray.from_arrays(
             pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32)),
             pa.array(smallest[which.ravel()]),
@@ -173,23 +169,24 @@ def _search_shards(window: int):
         )
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
-        words = 0
+        held: pa.Table | None = None
         for batch in batches:
-            held.append(batch)
-            words += sum(len(x) for x in batch.column("words").to_pylist()) // WORD_BYTES
-            if words < SHARD_WORDS:
-                continue
-            rows = pa.Table.from_batches(held)
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
             shard = rows.column("shard").to_numpy()
-            cut = int(np.searchsorted(shard, shard[-1]))  # the last shard may go on
-            if cut:
-                yield one(rows.slice(0, cut))
-            rest = rows.slice(cut)
-            held = rest.to_batches()
-            words = sum(len(x) for x in rest.column("words").to_pylist()) // WORD_BYTES
-        if sum(map(len, held)):
-            yield one(pa.Table.from_batches(held))
+            new = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+            words = pc.binary_length(rows.column("words")).to_numpy() // WORD_BYTES
+            before = np.append(0, np.cumsum(words))[new]  # words before each shard
+            at = 0
+            while True:  # the last shard may go on in the next batch
+                cut = int(np.searchsorted(before, before[at] + SHARD_WORDS))
+                if cut >= len(new):
+                    break
+                yield one(rows.slice(new[at], new[cut] - new[at]))
+                at = cut
+            held = rows.slice(new[at])
+        if held is not None and held.num_rows:
+            yield one(held.combine_chunks())
 
     return run
 

@@ -101,6 +101,15 @@ def word_hashes(blob: bytes, alphabet: Alphabet):
     return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
 
 
+def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of ``values[start:end]`` for many ranges; equal contents, equal hashes."""
+    n = len(values)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(mix(values) * _power(_BASE, "up", n), out=sums[1:])
+    value = (sums[end] - sums[start]) * _power(_BASE_INVERSE, "down", n + 1)[start]
+    return mix(value ^ ((end - start).astype(np.uint64) << np.uint64(40)))
+
+
 class Texts:
     """Some texts with their words: word ``i`` of text ``d`` is at ``first[d] + i``."""
 
