@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, substring_dedup
+from . import decontamination, jaccard_join, packing, substring_dedup
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def query(sql: str | None = None):
     return register
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 _LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WHITE_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 _ALNUM_WORDS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -81,3 +87,32 @@ def op9_decontaminate(spark, sf_dir):
 )
 def op10_substring_dedup(spark, sf_dir):
     return substring_dedup.dedup_digest(table(spark, sf_dir, "documents"))
+
+
+@query(
+    f"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, {_WHITE_WORDS.format(_LOWER.format("text"))} AS w FROM documents),
+    grams AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS gram
+        FROM d, unnest(range(1, greatest(len(w) - 3, least(len(w), 1) + 1))) AS t(i)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+    common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+        FROM grams a JOIN grams b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (
+        SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    reach AS (
+        SELECT doc_id, doc_id AS other FROM d
+        UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+    SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+    FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
+)
+def op7_jaccard_join(spark, sf_dir):
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_pattern_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
