@@ -1,15 +1,17 @@
 """N-gram Jaccard join by grouped prefixes.
 
-Documents are sets of word shingles. Shingles have one global order: first those with a
-rare word (a shingle is at most as frequent as its rarest word), then by hash; so common
-lines and passages come last. Two sets can only reach the threshold if their prefixes in
-that order share a shingle.
+Documents are sets of word shingles. Shingles have one global order: those of common
+lines and passages last, then those with a rare word first (a shingle is at most as
+frequent as its rarest word), then by hash. Any order gives the same result; this one,
+from counts over all documents, keeps common shingles out of prefixes. Two sets can only
+reach the threshold if their prefixes in that order share a shingle.
 
 1. Equal sets are one class; classes with equal prefixes and sizes are one group, found
    by map-side aggregation, so a large group of copies is one row from then on.
-2. Prefix shingles of groups meet by shingle. Each group is paired with the first group
-   of each of its shingles, and each class with its group: as many pairs as rows, not as
-   pairs of rows. These are verified on whole sets and give a first partition.
+2. Prefix shingles of groups meet by shingle. Each group is paired with a few centres of
+   its shingles, the first groups in some fixed orders, and each class with its group: a
+   number of pairs in proportion to the rows. Those that share most of what they need are
+   verified on whole sets and give a first partition.
 3. Pairs that the first step left open are those between different components of that
    partition. All of them that share enough prefix shingles to reach the threshold are
    expanded to classes and verified on whole sets. Pairs inside a component are already
@@ -29,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import bitmap, components, in_bitmap, written
@@ -40,6 +42,13 @@ SHINGLE = 5
 SIMILARITY = 80
 #: Counters of word hashes, a power of two; one byte each is sent to the tasks.
 COUNTERS = 1 << 20
+#: Shingles of one task that are counted at once, and the count that makes one common.
+COUNTED_TOGETHER = 4_000_000
+COMMON = 8
+#: Each makes an order of equally good groups; the first group of a shingle is a centre.
+CENTRES = [0] + [int(signed(mix(np.array([i], dtype=np.uint64)))[0]) for i in range(1, 6)]
+#: Of the shingles that a pair needs in common, the share that its centre must have seen.
+SEEN = 0.8
 
 
 def _each_block(batches):
@@ -50,47 +59,73 @@ def _each_block(batches):
             yield ids.slice(a, b - a), Texts([t or b"" for t in data[a:b]], WHITE_FOLDED)
 
 
-def _count_words(batches):
-    """How often words of each counter occur in what the task reads."""
+def _count(batches):
+    """Counts of what the task reads: words by counter, and shingles that repeat in it."""
     counts = np.zeros(COUNTERS, dtype=np.int64)
+    held: list[np.ndarray] = []
+    size = 0
+
+    def repeated():
+        values, n = np.unique(np.concatenate(held), return_counts=True)
+        some = n > 1
+        return pa.RecordBatch.from_pydict(
+            {"word": np.zeros(some.sum(), dtype=bool), "slot": signed(values[some]), "n": n[some]}
+        )
+
     for _, texts in _each_block(batches):
         slot = (texts.hashes & np.uint64(COUNTERS - 1)).astype(np.int64)
         counts += np.bincount(slot, minlength=COUNTERS)
+        held.append(texts.grams(SHINGLE)[texts.gram_ok(SHINGLE)])
+        size += len(held[-1])
+        if size >= COUNTED_TOGETHER:
+            yield repeated()
+            held, size = [], 0
+    if size:
+        yield repeated()
     some = np.flatnonzero(counts)
     for a in range(0, len(some), 1 << 16):
         part = some[a : a + (1 << 16)]
-        yield pa.RecordBatch.from_pydict({"slot": part, "n": counts[part]})
-
-
-def _levels(docs: DataFrame) -> np.ndarray:
-    """For each counter the logarithm of its words' count over all documents."""
-    counts = docs.mapInArrow(_count_words, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(COUNTERS, dtype=np.uint8)
-    n = counts["n"].to_numpy()
-    out[counts["slot"].to_numpy()] = np.minimum(np.log2(np.maximum(n, 1)), 63).astype(np.uint8)
-    return out
-
-
-def _sets(texts: Texts, levels: np.ndarray | None):
-    """For each text its shingles: sorted distinct hashes, led by the level if given."""
-    k = SHINGLE
-    grams = texts.grams(k)
-    if levels is not None:
-        of_word = levels[(texts.hashes & np.uint64(COUNTERS - 1)).astype(np.int64)]
-        rarest = of_word[: len(grams)].copy()
-        for j in range(1, k):
-            np.minimum(rarest, of_word[j : j + len(grams)], out=rarest)
-        grams = (rarest.astype(np.uint64) << np.uint64(58)) | (grams >> np.uint64(6))
+        yield pa.RecordBatch.from_pydict(
+            {"word": np.ones(len(part), dtype=bool), "slot": part, "n": counts[part]}
+        )
+
+
+class _Order:
+    """The order of shingles: the counters' logarithms, and a bitmap of common shingles."""
+
+    def __init__(self, docs: DataFrame):
+        counts = written(
+            docs.mapInArrow(_count, "word boolean, slot long, n long").groupBy("word", "slot").agg(F.sum("n").alias("n")),
+            "counts",
+        )
+        words = counts.where("word").toArrow()
+        self.levels = np.zeros(COUNTERS, dtype=np.uint8)
+        # six bits are left for the flag and the logarithm
+        level = np.minimum(np.log2(np.maximum(words["n"].to_numpy(), 1)), 31)
+        self.levels[words["slot"].to_numpy()] = level.astype(np.uint8)
+        common = counts.where(~F.col("word") & (F.col("n") >= COMMON)).select("slot")
+        self.common = bitmap(common, F.col("slot"))
+
+    def keys(self, texts: Texts) -> np.ndarray:
+        """Shingle hashes of all places, led by their rank."""
+        grams = texts.grams(SHINGLE)
+        of_word = self.levels[(texts.hashes & np.uint64(COUNTERS - 1)).astype(np.int64)]
+        rank = of_word[: len(grams)].copy()
+        for j in range(1, SHINGLE):
+            np.minimum(rank, of_word[j : j + len(grams)], out=rank)
+        rank |= in_bitmap(self.common, grams).astype(np.uint8) << 5
+        return (rank.astype(np.uint64) << np.uint64(58)) | (grams >> np.uint64(6))
+
+
+def _sets(texts: Texts, order: _Order):
+    """For each text its shingles as sorted distinct keys."""
+    keys = order.keys(texts)
     for d, n in enumerate(texts.counts.tolist()):
         at = texts.first[d]
-        if n >= k:
-            yield np.unique(grams[at : at + n - k + 1])
+        if n >= SHINGLE:
+            yield np.unique(keys[at : at + n - SHINGLE + 1])
         elif n:
-            whole = range_hashes(texts.hashes[at : at + n], np.array([0]), np.array([n]))
-            if levels is not None:
-                rare = levels[(texts.hashes[at : at + n] & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                whole = (np.uint64(rare.min()) << np.uint64(58)) | (whole >> np.uint64(6))
-            yield whole
+            yield range_hashes(texts.hashes[at : at + n], np.array([0]), np.array([n]))
         else:
             yield np.zeros(0, dtype=np.uint64)
 
@@ -103,11 +138,11 @@ def _prefix_size(n: int) -> int:
     return n - (SIMILARITY * n + 99) // 100 + 1
 
 
-def _emit_classes(levels):
+def _emit_classes(order):
     def run(batches):
         for ids, texts in _each_block(batches):
             n, whole, head, prefix = [], [], [], []
-            for keys in _sets(texts, levels.value):
+            for keys in _sets(texts, order.value):
                 n.append(len(keys))
                 first = keys[: _prefix_size(len(keys))] if len(keys) else keys
                 whole.append(_hash_of(keys))
@@ -133,12 +168,12 @@ def _holder(doc_id: np.ndarray, cls: np.ndarray) -> np.ndarray:
     return mix(mix(doc_id.astype(np.int64).view(np.uint64)) ^ cls.view(np.uint64))
 
 
-def _emit_sets(bits, levels):
+def _emit_sets(bits, order):
     """The whole sets of documents that may stand for a class in some pair."""
 
     def run(batches):
         for ids, texts in _each_block(batches):
-            sets = list(_sets(texts, levels.value))
+            sets = list(_sets(texts, order.value))
             cls = np.array([_hash_of(s) for s in sets], dtype=np.int64)
             doc = ids.to_numpy(zero_copy_only=False)
             keep = np.flatnonzero(in_bitmap(bits.value, _holder(doc, cls))) if len(cls) else []
@@ -153,20 +188,28 @@ def _emit_sets(bits, levels):
     return run
 
 
+def _only(bits, column: str):
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(bits.value, batch.column(column).to_numpy())))
+
+    return run
+
+
 def _holder_column(batches):
     for batch in batches:
         h = _holder(batch.column("doc_id").to_numpy(), batch.column("class").to_numpy())
         yield pa.RecordBatch.from_pydict({"h": signed(h)})
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, levels) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order) -> DataFrame:
     """Those of the class pairs ``(a, b)`` whose whole sets reach the threshold."""
     sc = docs.sparkSession.sparkContext
     pairs = written(pairs.select("a", "b").distinct(), "pairs")
     needed = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
     needed = written(classes.join(needed, "class").select(F.col("least").alias("doc_id"), "class"), "needed")
     bits = sc.broadcast(bitmap(needed.mapInArrow(_holder_column, "h long"), F.col("h"), 1 << 28))
-    sets = docs.mapInArrow(_emit_sets(bits, levels), "doc_id long, class long, grams array<long>")
+    sets = docs.mapInArrow(_emit_sets(bits, order), "doc_id long, class long, grams array<long>")
     sets = written(
         sets.join(needed, ["doc_id", "class"]).groupBy("class").agg(F.first("grams").alias("grams")), "sets"
     )
@@ -176,11 +219,26 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, levels) ->
     return written(both.where(common * 100 >= union * SIMILARITY).select("a", "b"), "links")
 
 
-def _pairs_of_sizes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``pairs`` with the sizes of both, less those that sizes rule out."""
+def _beyond(n: str) -> Column:
+    """Shingles of a set after its prefix."""
+    return F.floor((F.col(n) * SIMILARITY + 99) / 100) - 1
+
+
+def _may_reach(pairs: DataFrame, classes: DataFrame, share: float = 1.0) -> DataFrame:
+    """Those of ``pairs (a, b, c)`` that ``c`` common prefix shingles leave possible.
+
+    Beyond the end of the prefix that ends first, two sets have at most as many
+    shingles in common as follow it. ``share`` asks for less than the full number only
+    where ``c`` may miss some.
+    """
     size = classes.select("class", "n")
     both = pairs.join(size.toDF("a", "n_a"), "a").join(size.toDF("b", "n_b"), "b")
-    return both.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILARITY)
+    # of the union, which has n_a + n_b less the common ones
+    required = F.floor(((F.col("n_a") + F.col("n_b")) * SIMILARITY + 99 + SIMILARITY) / (100 + SIMILARITY))
+    return both.where(
+        (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILARITY)
+        & (F.col("c") >= (required - F.greatest(_beyond("n_a"), _beyond("n_b"))) * share)
+    )
 
 
 def similar_documents(
@@ -191,9 +249,9 @@ def similar_documents(
     docs = documents.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     )
-    levels = sc.broadcast(_levels(docs))
+    order = sc.broadcast(_Order(docs))
     rows = written(
-        docs.mapInArrow(_emit_classes(levels), "doc_id long, n long, class long, head long, prefix array<long>"),
+        docs.mapInArrow(_emit_classes(order), "doc_id long, n long, class long, head long, prefix array<long>"),
         "shingled",
     )
     full = rows.where("n > 0")
@@ -203,23 +261,37 @@ def similar_documents(
     )
     heads = classes.groupBy("n", "head").agg(F.min("class").alias("group"))
     members = written(classes.join(heads, ["n", "head"]).select("class", "n", "group"), "members")
-    groups = (
-        full.groupBy("n", "head")
-        .agg(F.min("class").alias("group"), F.first("prefix").alias("prefix"))
-        .select("group", F.explode("prefix").alias("shingle"))
-    )
+    groups = written(
+        full.groupBy("n", "head").agg(F.min("class").alias("group"), F.first("prefix").alias("prefix")),
+        "groups",
+    ).select("group", F.explode("prefix").alias("shingle"))
     shared = (
         groups.groupBy("shingle")
         .agg(F.min("group").alias("first"), F.max("group").alias("last"))
         .where("first < last")
-        .select("shingle", "first")
+        .select("shingle")
     )
-    meets = written(groups.join(shared, "shingle"), "meets")
-
-    stars = meets.where("group <> first").select(F.col("first").alias("a"), F.col("group").alias("b"))
+    shared = written(shared, "shared")
+    bits = sc.broadcast(bitmap(shared, F.col("shingle"), 1 << 28))
+    maybe = groups.mapInArrow(_only(bits, "shingle"), "group long, shingle long")
+    meets = written(maybe.join(shared, "shingle"), "meets")
+
+    # a group that shares nearly all of its prefix is near what others are copies of
+    alone = meets.groupBy("group").agg(F.count("*").alias("shared")).join(
+        members.where("class = group").select("group", "n"), "group"
+    )
+    alone = alone.select("group", (F.col("n") - _beyond("n") - F.col("shared")).alias("alone"))
+    ranked = meets.join(alone, "group")
+    firsts = [
+        F.min_by("group", F.struct("alone", F.col("group").bitwiseXOR(F.lit(x)))) for x in CENTRES
+    ]
+    centres = ranked.groupBy("shingle").agg(F.array_distinct(F.array(*firsts)).alias("centres"))
+    stars = meets.join(centres, "shingle").select("group", F.explode("centres").alias("centre")).where("group <> centre")
+    stars = stars.groupBy(F.col("group").alias("a"), F.col("centre").alias("b")).agg(F.count("*").alias("c"))
     inside = members.where("class <> group").select(F.col("group").alias("a"), F.col("class").alias("b"))
-    near = _pairs_of_sizes(stars.distinct().union(inside), classes)
-    links = _verified(near, docs, classes, levels)
+    # pairs left out here are seen again in the second step
+    near = _may_reach(stars, classes, SEEN).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = _verified(near.union(inside), docs, classes, order)
     roots = components(links)
 
     placed = written(
@@ -247,17 +319,11 @@ def similar_documents(
         across.join(held.toDF("shingle", "a", "n_a", "root_a"), ["shingle", "root_a"])
         .join(held.toDF("shingle", "b", "n_b", "root_b"), ["shingle", "root_b"])
         .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILARITY)
-        .groupBy("a", "b", "n_a", "n_b")
-        .count()
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("c"))
     )
-    # shingles in common beyond both prefixes are bounded by what follows the prefix
-    # that ends first, so a pair must share this many within them
-    def beyond(n: str):
-        return F.floor(F.col(n) * SIMILARITY / 100) + 1 - F.when(F.col(n) * SIMILARITY % 100 == 0, 2).otherwise(1)
-
-    required = F.ceil((F.col("n_a") + F.col("n_b")) * SIMILARITY / (100 + SIMILARITY) - 1e-9)
-    pairs = pairs.where(F.col("count") >= required - F.greatest(beyond("n_a"), beyond("n_b")) - 1)
-    more = _verified(pairs, docs, classes, levels)
+    pairs = _may_reach(pairs, classes)
+    more = _verified(pairs, docs, classes, order)
     roots = components(links.union(more))
 
     labelled = rows.select("doc_id", "n", "class").join(roots.withColumnRenamed("node", "class"), "class", "left")
