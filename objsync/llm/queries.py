@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, jaccard_join, packing, substring_dedup
+from . import (
+    decontamination,
+    host_reputation,
+    host_rules,
+    jaccard_join,
+    language_codes,
+    packing,
+    pii_surrogates,
+    secret_scan,
+    substring_dedup,
+    toxic_spans,
+)
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +127,50 @@ def op7_jaccard_join(spark, sf_dir):
 @query()
 def op8_pattern_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+#: The key of surrogates; a run over real data is given its own.
+SURROGATE_KEY = "an example key"
+
+
+@query()
+def op1_pii_surrogates(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii_surrogates.replace_entities(documents, SURROGATE_KEY)
+
+
+@query()
+def op2_secret_links(spark, sf_dir):
+    return secret_scan.secrets_digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op3_toxic_spans(spark, sf_dir):
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    tagger = toxic_spans.fit(toxic_spans.labelled_texts(documents, labels))
+    return toxic_spans.score_documents(documents, tagger)
+
+
+@query()
+def op4_host_rules(spark, sf_dir):
+    return host_rules.judge_documents(table(spark, sf_dir, "documents"))
+
+
+#: Verdict, host and path of each rule.
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+
+
+@query()
+def op5_host_reputation(spark, sf_dir):
+    pages, labels = (table(spark, sf_dir, name) for name in ("pages", "labels"))
+    return host_reputation.judge_pages(pages, labels, URL_RULES)
+
+
+@query()
+def op6_language_codes(spark, sf_dir):
+    return language_codes.identify_languages(table(spark, sf_dir, "documents"))

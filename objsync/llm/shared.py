@@ -98,3 +98,39 @@ def crc_fold(id_column: str = "doc_id") -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def without_ids(documents: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """``documents`` whose ``column`` (a long) is not among the stored ``ids``.
+
+    Rows that a bitmap of the ids rules out pass as they are; only the others, about as
+    many as there are ids, are joined.
+    """
+    from .words import mix, signed
+
+    def hashed(values: np.ndarray) -> np.ndarray:
+        return mix(values.astype(np.int64).view(np.uint64))
+
+    def hashes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"h": signed(hashed(batch.column(0).to_numpy()))})
+
+    listed = ids.select(F.col(column).cast("long").alias("id")).where("id is not null").distinct()
+    bits = documents.sparkSession.sparkContext.broadcast(bitmap(listed.mapInArrow(hashes, "h long"), F.col("h")))
+
+    def among(wanted: bool):
+        def run(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                values = batch.column(batch.schema.names.index(column))
+                found = in_bitmap(bits.value, hashed(values.fill_null(0).to_numpy())) & values.is_valid().to_numpy(False)
+                yield batch.filter(pa.array(found == wanted))
+
+        return run
+
+    clear = documents.mapInArrow(among(False), documents.schema)
+    rest = documents.mapInArrow(among(True), documents.schema)
+    return clear.unionByName(rest.join(listed, F.col(column) == F.col("id"), "left_anti"))

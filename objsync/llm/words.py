@@ -146,11 +146,16 @@ def encoded(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def blocks(texts: list[bytes | None], size: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``size`` bytes together, one at least."""
+def blocks(
+    texts: list[bytes | None], size: int = BLOCK_BYTES, each: int = 1
+) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``size`` bytes together, one text at least.
+
+    A text counts for ``each`` bytes besides its own.
+    """
     at, held = 0, 0
     for i, text in enumerate(texts):
-        held += len(text or b"") + 1
+        held += len(text or b"") + each
         if held >= size:
             yield at, i + 1
             at, held = i + 1, 0
