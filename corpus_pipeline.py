@@ -1,12 +1,66 @@
-"""A training-data pipeline of operators from ``objsync.llm``."""
+"""A training-data pipeline of operators from ``objsync.llm``, from documents to packed sequences.
+
+Every stage but the last returns the columns of the documents it was given. Texts that a
+stage changes have their ``n_chars``, where there is one, counted again.
+
+Defined results: an empty table passes through; documents with null or empty texts are
+kept by all stages; rows that repeat an id stay together unless they are near duplicates
+of a document with a smaller id; further columns are kept until the last stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from objsync.llm import decontamination, jaccard_join, packing, secret_scan, toxic_spans
+from objsync.llm.queries import tokenizer_path
+from objsync.llm.shared import table, without_ids, written
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("n_chars", F.length("text").cast(kind))
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxic span field does not reject."""
+    tagger = toxic_spans.fit(toxic_spans.labelled_texts(docs, table(spark, sf_dir, "labels")))
+    return toxic_spans.drop_toxic(docs, tagger)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near duplicates."""
+    groups = jaccard_join.similar_documents(docs)
+    later = written(groups.where("component_id < doc_id").select("doc_id"), "later")
+    return without_ids(docs, later, "doc_id")
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that a benchmark item has."""
+    return _counted(decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark")))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their secrets masked."""
+    return _counted(secret_scan.mask_secrets(docs))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of the documents and their places in packed sequences."""
+    return packing.pack_documents(docs, tokenizer_path())
 
-from objsync.llm.shared import table, written
 
-STAGES = []
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_passages", benchmark_passages),
+    ("secrets", secrets),
+    ("packing", packing_stage),
+]
+#: The tokens of the last stage have no SQL.
 ORACLE_SQL = None
 
 
