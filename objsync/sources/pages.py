@@ -48,8 +48,11 @@ def read_pages(
     value its JSON text. With ``columns`` the pages are parsed to just those fields
     and nothing is read ahead; without, one extra pass finds the fields.
     ``multi_line=False`` reads files with one page per line, which Spark can split.
+    A document that does not parse, such as one cut short, fails the job.
     """
-    reader = spark.read.option("primitivesAsString", True).option("multiLine", multi_line)
+    reader = spark.read.options(
+        primitivesAsString=True, multiLine=multi_line, mode="FAILFAST"
+    )
     if columns is not None:
         record = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         types = {done_field: T.StringType(), records_field: T.ArrayType(record)}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterator
 from urllib.parse import unquote
 
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 
 # large enough that every file becomes a scan task of its own
 _ONE_FILE_PER_TASK = str(1 << 40)
-_HEADER_LINES = "64"
+_LINES_AT_ONCE = "64"
 
 
 def _headers(spark: SparkSession, path: str | list[str]) -> list[tuple[list, list]]:
@@ -25,18 +26,22 @@ def _headers(spark: SparkSession, path: str | list[str]) -> list[tuple[list, lis
     """
 
     def first_record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lines = batch.column(0).to_pylist()
-            header = next(csv.reader(line + "\n" for line in lines))
-            yield pa.RecordBatch.from_pydict(
-                {"header": [header], "file": batch.column(1).to_pylist()[:1]}
-            )
-            return
+        files: list[str] = []
+
+        def lines() -> Iterator[str]:
+            for batch in batches:
+                files.extend(batch.column(1).to_pylist()[:1])
+                yield from (line + "\n" for line in batch.column(0).to_pylist())
+
+        # as many lines as the record has; the reader skips blank lines before it
+        header = next((record for record in csv.reader(lines()) if record), None)
+        if header is not None:
+            yield pa.RecordBatch.from_pydict({"header": [header], "file": files[:1]})
 
     session = spark.newSession()
     session.conf.set("spark.sql.files.maxPartitionBytes", _ONE_FILE_PER_TASK)
     session.conf.set("spark.sql.files.openCostInBytes", _ONE_FILE_PER_TASK)
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", _HEADER_LINES)
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", _LINES_AT_ONCE)
     found = (
         session.read.text(path, recursiveFileLookup=True)
         .select("value", F.col("_metadata.file_path"))
@@ -45,7 +50,12 @@ def _headers(spark: SparkSession, path: str | list[str]) -> list[tuple[list, lis
         .agg(F.sort_array(F.collect_list("file")).alias("files"))
         .orderBy("files")
     )
-    return [(r["header"], [unquote(f) for f in r["files"]]) for r in found.collect()]
+    return [(r["header"], [_exact(unquote(f)) for f in r["files"]]) for r in found.collect()]
+
+
+def _exact(path: str) -> str:
+    """``path`` as a pattern that only it matches."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def _read(

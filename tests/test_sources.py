@@ -199,3 +199,26 @@ def test_load_object(spark, tmp_path):
         ob.load_object(spark)
     with pytest.raises(ValueError):
         ob.load_object(spark, result_sets=path, query="select 1")
+
+
+def test_headers_of_any_shape(spark, tmp_path):
+    folder = tmp_path / "odd"
+    folder.mkdir()
+    (folder / "a[1].csv").write_text("A,B\n1,2\n")
+    (folder / "a1.csv").write_text("B\n3\n")
+    (folder / "blank.csv").write_text("\nA,B\n4,5\n")
+    (folder / "long.csv").write_text('A,"' + "x\n" * 70 + 'y",B\n6,7,8\n')
+    got = ob.read_result_sets(spark, str(folder))
+    long_name = next(c for c in got.columns if "x" in c)
+    assert len(long_name.split("\n")) == 71
+    rows = {(r["A"], r["B"], r[long_name]) for r in got.collect()}
+    assert rows == {("1", "2", ""), ("", "3", ""), ("4", "5", ""), ("6", "8", "7")}
+
+
+def test_torn_page_fails(spark, tmp_path):
+    folder = tmp_path / "torn"
+    folder.mkdir()
+    (folder / "1.json").write_text('{"done": true, "records": [{"a": "1"}]}')
+    (folder / "2.json").write_text('{"done": false, "records": [{"a": "2"}')
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        ob.page_records(ob.read_pages(spark, str(folder), ["a"])).collect()
