@@ -38,6 +38,8 @@ from .shared import bitmap, components, in_bitmap, written
 from .words import WHITE_FOLDED, Texts, blocks, encoded, mix, range_hashes, signed
 
 SHINGLE = 5
+#: Stands for a null id where a class needs a document that holds it.
+NO_ID = -(1 << 63)
 #: The threshold in hundredths.
 SIMILARITY = 80
 #: Counters of word hashes, a power of two; one byte each is sent to the tasks.
@@ -175,7 +177,7 @@ def _emit_sets(bits, order):
         for ids, texts in _each_block(batches):
             sets = list(_sets(texts, order.value))
             cls = np.array([_hash_of(s) for s in sets], dtype=np.int64)
-            doc = ids.to_numpy(zero_copy_only=False)
+            doc = ids.fill_null(NO_ID).to_numpy()
             keep = np.flatnonzero(in_bitmap(bits.value, _holder(doc, cls))) if len(cls) else []
             yield pa.RecordBatch.from_pydict(
                 {
@@ -256,7 +258,7 @@ def similar_documents(
     )
     full = rows.where("n > 0")
     classes = written(
-        full.groupBy("class", "n", "head").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("least")),
+        full.groupBy("class", "n", "head").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("least")),
         "classes",
     )
     heads = classes.groupBy("n", "head").agg(F.min("class").alias("group"))

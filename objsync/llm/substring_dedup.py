@@ -171,6 +171,8 @@ def _search_shards(window: int):
     def run(batches):
         held: pa.Table | None = None
         for batch in batches:
+            if not len(batch):
+                continue
             rows = pa.Table.from_batches([batch])
             rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
             shard = rows.column("shard").to_numpy()
@@ -200,6 +202,8 @@ def _covered(window: int):
             size = np.diff(lists.offsets.to_numpy())
             row = np.repeat(np.arange(len(size)), size)
             place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+            if not len(row):
+                continue
             doc = batch.column("doc_id").to_numpy()
             at = batch.column("start").to_numpy() + batch.column("skip").to_numpy()
             hit = np.flatnonzero(lists.flatten().to_numpy() < doc[row])
@@ -207,7 +211,7 @@ def _covered(window: int):
             new = np.ones(len(row), dtype=bool)
             new[1:] = (row[1:] != row[:-1]) | (word[1:] != word[:-1] + 1)
             first = np.flatnonzero(new)
-            last = np.append(first[1:], len(row)) - 1
+            last = np.append(first[1:], len(row))[: len(first)] - 1
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": doc[row[first]],
