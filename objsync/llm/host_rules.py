@@ -108,13 +108,11 @@ def host_verdicts(rows: DataFrame) -> DataFrame:
     strength = F.when(
         between > noise / (MAX_STRENGTH + 1), F.greatest(noise / between - 1, F.lit(1.0))
     ).otherwise(F.lit(MAX_STRENGTH))
-    prior = moments.select(
-        (F.coalesce("m", F.lit(0.0)) * strength).alias("alpha"),
-        ((1 - F.coalesce("m", F.lit(0.0))) * strength).alias("beta"),
-    )
-    # one row joined to every host
-    both = hosts.withColumn("one", F.lit(1)).join(F.broadcast(prior.withColumn("one", F.lit(1))), "one")
-    a, b = F.col("n_failed") + F.col("alpha"), F.col("n_docs") - F.col("n_failed") + F.col("beta")
+    m = F.coalesce("m", F.lit(0.0))
+    prior = moments.select(F.struct((m * strength).alias("alpha"), ((1 - m) * strength).alias("beta"))).scalar()
+    both = hosts.withColumn("prior", prior)
+    a = F.col("n_failed") + F.col("prior.alpha")
+    b = F.col("n_docs") - F.col("n_failed") + F.col("prior.beta")
     mean = a / (a + b)
     deviation = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
     return both.select(
