@@ -84,21 +84,17 @@ def _strength(counts: DataFrame, prior: str) -> DataFrame:
 
 def host_posteriors(outcomes: DataFrame) -> DataFrame:
     """``(host, n, bad, mean, lower)`` from ``(host, n, bad)``, each host once."""
-
-    def with_one(df: DataFrame, row: DataFrame) -> DataFrame:
-        return df.withColumn("one", F.lit(1)).join(F.broadcast(row.withColumn("one", F.lit(1))), "one").drop("one")
-
     hosts = outcomes.withColumns({"domain": _labels(2), "suffix": _labels(1)})
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     whole = suffixes.agg(F.coalesce(F.sum("bad") / F.sum("n"), F.lit(0.0)).alias("p"))
-    suffixes = with_one(suffixes, whole)
-    suffixes = with_one(suffixes, _strength(suffixes, "p"))
+    suffixes = suffixes.withColumn("p", whole.scalar())
+    suffixes = suffixes.withColumn("k", _strength(suffixes, "p").scalar())
     mean = (F.col("bad") + F.col("k") * F.col("p")) / (F.col("n") + F.col("k"))
     domains = domains.join(suffixes.select("suffix", mean.alias("p")), "suffix")
-    domains = with_one(domains, _strength(domains, "p"))
+    domains = domains.withColumn("k", _strength(domains, "p").scalar())
     hosts = hosts.join(domains.select("domain", mean.alias("p")), "domain")
-    hosts = with_one(hosts, _strength(hosts, "p"))
+    hosts = hosts.withColumn("k", _strength(hosts, "p").scalar())
     a = F.col("bad") + F.col("k") * F.col("p")
     b = F.col("n") - F.col("bad") + F.col("k") * (1 - F.col("p"))
     m = a / (a + b)
