@@ -1026,6 +1026,23 @@ def update_by_key_set_nulls(spark, sf_dir):
     return ob.update_by_key(customers, updates, "c_custkey", nulls="set")
 
 
+@query(
+    f"""
+    WITH u AS ({_updates_sql(True)}),
+    single AS (SELECT c_custkey AS k, any_value(c_name) AS n, any_value(c_acctbal) AS b
+               FROM u GROUP BY c_custkey
+               HAVING count(*) = 1 AND count(c_name) = 1 AND count(c_acctbal) = 1)
+    SELECT c_custkey, coalesce(n, c_name) AS c_name, c_nationkey,
+           coalesce(b, c_acctbal) AS c_acctbal, c_mktsegment
+    FROM customer LEFT JOIN single ON k = c_custkey"""
+)
+def update_by_key_reject_nulls(spark, sf_dir):
+    """Rows with a null change nothing, the others are applied."""
+    customers = table(spark, sf_dir, "customer")
+    updates = account_updates(spark, sf_dir, blanks=True)
+    return ob.update_by_key(customers, updates, "c_custkey", nulls="reject")
+
+
 @query(_updated_sql("b", True))
 def update_table(spark, sf_dir):
     """An update of a table by rows computed from that same table."""
@@ -1106,6 +1123,48 @@ def insert_results(spark, sf_dir):
     return ob.insert_results(new_customers(spark, sf_dir), "c_custkey")
 
 
+_FAULTY_CUSTOMERS_SQL = f"""
+    SELECT CASE WHEN c_nationkey <> 5 THEN c_custkey END AS c_custkey, c_name,
+           c_nationkey, c_acctbal FROM ({_NEW_CUSTOMERS_SQL})
+    UNION ALL
+    SELECT * FROM ({_NEW_CUSTOMERS_SQL}) WHERE c_nationkey = 3"""
+
+
+def faulty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New customers, some without a key and some twice."""
+    rows = new_customers(spark, sf_dir)
+    keyed = rows.withColumn("c_custkey", F.when(F.col("c_nationkey") != 5, F.col("c_custkey")))
+    return keyed.unionByName(rows.where("c_nationkey = 3"))
+
+
+@query(
+    f"""
+    WITH f AS ({_FAULTY_CUSTOMERS_SQL})
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+    UNION ALL
+    SELECT *, NULL FROM f
+    WHERE c_custkey IN (SELECT c_custkey FROM f GROUP BY c_custkey HAVING count(*) = 1)"""
+)
+def insert_rows_refused(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer")
+    return ob.insert_rows(customers, faulty_customers(spark, sf_dir), "c_custkey")
+
+
+@query(
+    f"""
+    SELECT c_custkey AS "Id", error = '' AS "Success", error = '' AS "Created",
+           error AS "Error"
+    FROM (SELECT c_custkey,
+                 CASE WHEN c_custkey IS NULL THEN 'key is missing'
+                      WHEN count(*) OVER (PARTITION BY c_custkey) > 1
+                          THEN 'duplicate key in the insert'
+                      ELSE '' END AS error
+          FROM ({_FAULTY_CUSTOMERS_SQL}))"""
+)
+def insert_results_refused(spark, sf_dir):
+    return ob.insert_results(faulty_customers(spark, sf_dir), "c_custkey")
+
+
 def landed_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcome records as text, flags in any case, one per event."""
     kind = F.col("event_type")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from objsync.functions.text import quoted
 
-NULL_RULES = ("error", "keep", "set")
+NULL_RULES = ("error", "keep", "set", "reject")
 
 # rows made from one count by one task
 UNFOLD_CHUNK = 10_000
@@ -25,6 +26,26 @@ def _changed_columns(target: DataFrame, updates: DataFrame, key: str) -> list[st
     return [c for c in updates.columns if c != key]
 
 
+def _same_kind(target: DataFrame, updates: DataFrame, key: str) -> Column:
+    """The key of ``updates`` in the target's type; one that cannot be cast is refused."""
+    has, wants = updates.schema[key].dataType, target.schema[key].dataType
+    column = F.col(quoted(key))
+    if has == wants:
+        return column
+    if isinstance(has, T.AtomicType) and isinstance(wants, T.AtomicType):
+        return column.try_cast(wants)
+    raise ValueError(
+        f"key {key} is {has.simpleString()} in the update and {wants.simpleString()} in the target"
+    )
+
+
+def _any_null(columns: list[str]) -> Column:
+    held = F.lit(False)
+    for name in columns:
+        held = held | F.col(quoted(name)).isNull()
+    return held
+
+
 def _null_rule(nulls: str) -> None:
     if nulls not in NULL_RULES:
         raise ValueError(f"nulls must be one of {NULL_RULES}, not {nulls!r}")
@@ -37,8 +58,9 @@ def update_by_key(
 
     A key that occurs more than once in ``updates`` changes nothing, as it is not
     defined which row should win; ``update_results`` reports it. A null in an
-    update fails the job (``error``), leaves the old value (``keep``) or is stored
-    (``set``).
+    update fails the job (``error``), leaves the old value (``keep``), is stored
+    (``set``), or makes the row change nothing (``reject``). A key that has no value in
+    the target's type matches nothing.
 
     Updates are reduced to one row per key, partly before they are shuffled. The join
     is on the key as a struct, which is not how the reduced updates are partitioned:
@@ -47,9 +69,11 @@ def update_by_key(
     """
     _null_rule(nulls)
     changed = _changed_columns(target, updates, key)
+    key_col = _same_kind(target, updates, key)
+    refused = _any_null(changed) if nulls == "reject" else F.lit(False)
     single = (
-        updates.where(F.col(quoted(key)).isNotNull())
-        .groupBy(F.col(quoted(key)).alias("_key"))
+        updates.where(key_col.isNotNull())
+        .groupBy(key_col.alias("_key"))
         .agg(
             F.count("*").alias("_rows"),
             F.first(
@@ -59,8 +83,9 @@ def update_by_key(
                 if changed
                 else F.lit(None)
             ).alias("_new"),
+            F.bool_or(refused).alias("_refused"),
         )
-        .where(F.col("_rows") == 1)
+        .where((F.col("_rows") == 1) & ~F.col("_refused"))
         .select("_key", "_new")
     )
     old = target.alias("t")
@@ -76,7 +101,7 @@ def update_by_key(
             new = F.col(f"_new.u{changed.index(name)}").cast(target.schema[name].dataType)
             if nulls == "keep":
                 value = F.coalesce(new, value)
-            elif nulls == "set":
+            elif nulls in ("set", "reject"):
                 value = F.when(matched, new).otherwise(value)
             else:
                 problem = F.raise_error(F.lit(f"null in an update of column {name}"))
@@ -90,6 +115,10 @@ def update_results(
 ) -> DataFrame:
     """One ``(Id, Success, Created, Error)`` row per row of ``updates``.
 
+    It says what ``update_by_key`` does with each row under the same rule. Under
+    ``error`` it names the rows at fault; the update itself fails as a whole if any of
+    them would be applied, so use ``reject`` to apply the others.
+
     The outcome of a row depends on its key and on whether it holds a null, so the
     rows of each key are counted first, and only counts are shuffled and joined. A
     count is then unfolded into its rows, in chunks that are spread over the tasks:
@@ -97,18 +126,15 @@ def update_results(
     """
     _null_rule(nulls)
     changed = _changed_columns(target, updates, key)
-    has_null = F.lit(False)
-    if nulls == "error":
-        for name in changed:
-            has_null = has_null | F.col(quoted(name)).isNull()
-    key_col = F.col(quoted(key))
+    has_null = _any_null(changed) if nulls in ("error", "reject") else F.lit(False)
+    key_col = _same_kind(target, updates, key)
     counted = updates.groupBy(key_col.alias("_key")).agg(
         F.count("*").alias("_of_key"), F.count_if(has_null).alias("_nulls")
     )
     known = (
-        target.where(key_col.isNotNull())
-        .groupBy(key_col.alias("_known"))
-        .agg(F.count("*").alias("_target_rows"))
+        target.where(F.col(quoted(key)).isNotNull())
+        .select(F.col(quoted(key)).alias("_known"))
+        .distinct()
     )
     refusal = (
         F.when(F.col("_key").isNull(), "key is missing")
@@ -146,18 +172,38 @@ def _unfold(counts: DataFrame) -> DataFrame:
     )
 
 
-def insert_rows(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """``target`` followed by ``rows``, matched by name; absent columns are null."""
+def _key_counts(rows: DataFrame, key: str) -> DataFrame:
+    return rows.groupBy(F.col(quoted(key)).alias("_key")).agg(F.count("*").alias("_n"))
+
+
+def insert_rows(target: DataFrame, rows: DataFrame, key: str | None = None) -> DataFrame:
+    """``target`` followed by ``rows``, matched by name; absent columns are null.
+
+    With ``key``, rows that ``insert_results`` refuses are left out.
+    """
+    if key is not None:
+        repeated = _key_counts(rows, key).where("_n > 1").select("_key")
+        rows = rows.where(F.col(quoted(key)).isNotNull()).join(
+            repeated, F.col(quoted(key)) == F.col("_key"), "left_anti"
+        )
     return target.unionByName(rows, allowMissingColumns=True)
 
 
 def insert_results(rows: DataFrame, key: str) -> DataFrame:
-    """One ``(Id, Success, Created, Error)`` row per inserted row."""
-    return rows.select(
-        F.col(quoted(key)).alias("Id"),
-        F.lit(True).alias("Success"),
-        F.lit(True).alias("Created"),
-        F.lit("").alias("Error"),
+    """One ``(Id, Success, Created, Error)`` row per row to be inserted.
+
+    A row without a key, and all rows of a key that occurs more than once, are refused.
+    """
+    error = (
+        F.when(F.col("_key").isNull(), "key is missing")
+        .when(F.col("_n") > 1, "duplicate key in the insert")
+        .otherwise("")
+    )
+    return _unfold(_key_counts(rows, key).withColumn("_error", error)).select(
+        F.col("_key").alias("Id"),
+        (F.col("_error") == "").alias("Success"),
+        (F.col("_error") == "").alias("Created"),
+        F.col("_error").alias("Error"),
     )
 
 

@@ -31,6 +31,15 @@ _TIE_HASH, _TIE_ROW = "_tie_hash", "_tie_row"
 _PLACE_BITS = (1 << 33) - 1
 
 
+def _hashable(df: DataFrame) -> list[Column]:
+    """The columns that have a hash: all without a map in them."""
+    return [
+        F.col(quoted(f.name))
+        for f in df.schema.fields
+        if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()
+    ]
+
+
 def range_sorted(
     df: DataFrame,
     order_by: list[str | Column],
@@ -49,7 +58,7 @@ def range_sorted(
         path = new_run_dir(df.sparkSession, "numbered")
         numbered = df.select(
             "*",
-            F.xxhash64(*[F.col(quoted(c)) for c in df.columns]).alias(_TIE_HASH),
+            F.xxhash64(F.lit(0), *_hashable(df)).alias(_TIE_HASH),
             F.monotonically_increasing_id().alias(_TIE_ROW),
         )
         numbered.write.parquet(path)

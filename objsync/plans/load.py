@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from objsync.functions.text import encode_fields as encode_columns
 from objsync.operators.schema import apply_schema, infer_schema
 from objsync.sources.objects import query_objects
-from objsync.sources.pages import page_records, read_pages
+from objsync.sources.pages import page_records, page_status, read_pages
 from objsync.sources.result_sets import read_result_sets
 
 
@@ -42,22 +42,36 @@ def load_object(
     columns: list[str] | None = None,
     object_name: str | None = None,
     query: str | None = None,
+    multi_line: bool = True,
+    records_field: str = "records",
+    done_field: str = "done",
+    accept_incomplete: bool = False,
     **typing,
 ) -> DataFrame:
     """Landed bulk result sets or query pages as a typed DataFrame.
 
     Exactly one of ``result_sets`` and ``pages`` names the source. ``query`` runs
     over the typed rows under ``object_name``, so that its filters and columns reach
-    the file scan. The remaining arguments are those of ``typed_rows``.
+    the file scan. ``multi_line`` is that of the readers, and ``records_field`` and
+    ``done_field`` those of ``read_pages``. Pages with done flags of which not exactly
+    one says that it is the last are refused, unless ``accept_incomplete``; a response
+    without a flag is whole. The remaining arguments are those of ``typed_rows``.
     """
     if (result_sets is None) == (pages is None):
         raise ValueError("give exactly one of result_sets and pages")
     if (query is None) != (object_name is None):
         raise ValueError("query and object_name go together")
     if result_sets is not None:
-        records = read_result_sets(spark, result_sets, columns)
+        records = read_result_sets(spark, result_sets, columns, multi_line=multi_line)
     else:
-        records = page_records(read_pages(spark, pages, columns))
+        landed = read_pages(spark, pages, columns, records_field, done_field, multi_line)
+        if not accept_incomplete:
+            state = page_status(landed.where("done is not null")).first()
+            if state["n_pages"] and not state["complete"]:
+                raise ValueError(
+                    f"incomplete extract: {state['n_done']} of {state['n_pages']} pages are the last"
+                )
+        records = page_records(landed)
     rows = typed_rows(records, **typing)
     if query is None:
         return rows

@@ -54,7 +54,10 @@ def type_part(
 ) -> dict:
     """The members of a field entry that describe its type."""
     entry = config.get(_type_name(data_type), {type_key: TEXT_TYPE})
-    part: dict = {"type": entry.get(type_key) or entry["type"]}
+    dataset_type = entry.get(type_key) or entry.get("type")
+    if dataset_type is None:
+        raise ValueError(f"the entry {_type_name(data_type)} of the type map has no member {type_key!r}")
+    part: dict = {"type": dataset_type}
     if "precision" in entry:
         scale = int(entry.get("scale", 0))
         if scale > MAX_SCALE:

@@ -72,7 +72,9 @@ def _path_name(path: str) -> str:
 
 def page_records(pages: DataFrame) -> DataFrame:
     """The records of all pages, one row each, every field text."""
-    record = pages.schema["records"].dataType.elementType
+    record = getattr(pages.schema["records"].dataType, "elementType", None)
+    if not isinstance(record, T.StructType):  # no page has a record
+        return pages.select().where("false")
     return pages.select(F.explode("records").alias("r")).select(
         *[
             F.col(f"r.{quoted(f.name)}").cast("string").alias(f.name)

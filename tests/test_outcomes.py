@@ -176,3 +176,28 @@ def test_job_status(spark):
         "open": (2, 1, 0, False, False),
         "unknown": (1, 1, 0, False, False),
     }
+
+
+def test_rejected_nulls(spark, target):
+    changes = updates(spark, [("a", None), ("c", "new c")])
+    after = by_id(ob.update_by_key(target, changes, "Id", "reject"))
+    assert after["a"] == ("old a", 1) and after["c"] == ("new c", 3)
+    said = by_id(ob.update_results(target, changes, "Id", "reject"))
+    assert said == {"a": (False, False, "null value in the update"), "c": (True, False, "")}
+
+
+def test_key_of_another_type(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "Id long, v string")
+    changes = spark.createDataFrame([("1", "new"), ("x", "lost")], "Id string, v string")
+    assert by_id(ob.update_by_key(target, changes, "Id")) == {1: ("new",), 2: ("b",)}
+    with pytest.raises(ValueError, match="key Id is array"):
+        ob.update_by_key(target, changes.withColumn("Id", F.array("Id")), "Id")
+
+
+def test_refused_inserts(spark, target):
+    rows = updates(spark, [("x", "1"), ("y", "2"), ("y", "3"), (None, "4")])
+    said = sorted(tuple(r) for r in ob.insert_results(rows.where("Id is not null"), "Id").collect())
+    twice = ("y", False, False, "duplicate key in the insert")
+    assert said == [("x", True, True, ""), twice, twice]
+    assert by_id(ob.insert_results(rows, "Id"))[None] == (False, False, "key is missing")
+    assert ob.insert_rows(target, rows, "Id").count() == len(TARGET) + 1

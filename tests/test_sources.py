@@ -193,6 +193,12 @@ def test_load_object(spark, tmp_path):
     assert rows(df) == [(1, "x+y", 2.5)]
     pages = land_pages(tmp_path / "load-pages", [page(True, {"id": 1}, {"id": 2})])
     assert rows(ob.load_object(spark, pages=pages, columns=["id"], infer=True)) == [(1,), (2,)]
+    part = land_pages(tmp_path / "load-part", [page(False, {"id": 1})])
+    with pytest.raises(ValueError, match="0 of 1 pages are the last"):
+        ob.load_object(spark, pages=part)
+    assert rows(ob.load_object(spark, pages=part, accept_incomplete=True)) == [("1",)]
+    none = land_pages(tmp_path / "load-none", [page(True)])
+    assert rows(ob.load_object(spark, pages=none)) == []
     with pytest.raises(ValueError):
         ob.load_object(spark, result_sets=path, pages=pages)
     with pytest.raises(ValueError):
