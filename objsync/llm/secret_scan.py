@@ -98,7 +98,9 @@ def _linked(scanned: DataFrame) -> DataFrame:
         F.floor((F.col("p.start") - SCOPE) / SCOPE), F.floor((F.col("p.end") + SCOPE) / SCOPE)
     )
     parts = parts.withColumn("other", _role(F.col("p.kind"))).withColumn("cell", F.explode(cells))
-    weak = weak.withColumn("cell", F.floor(F.col("s.start") / SCOPE))
+    # a part before a weak span is near its start, one after it near its end
+    ends = F.array_distinct(F.array(F.floor(F.col("s.start") / SCOPE), F.floor(F.col("s.end") / SCOPE)))
+    weak = weak.withColumn("cell", F.explode(ends))
     gap = F.greatest(F.col("p.start") - F.col("s.end"), F.col("s.start") - F.col("p.end"))
     complementary = (F.col("role") != F.col("other")) & ((F.col("role") == "secret") | (F.col("other") == "secret"))
     pairs = weak.join(parts, [*key, "cell"]).where(complementary & gap.between(0, SCOPE))

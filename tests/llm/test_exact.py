@@ -176,12 +176,13 @@ def test_secrets(documents, empty):
 
 
 def test_weak_parts_only_together(spark):
-    rows = [(1, "client_id: foo99 far"), (2, "client_id: foo99 pwd=hunter22"), (3, "pwd=hunter22 " + "x " * 150 + "client_id: foo99")]
+    rows = [(4, "https://h/" + "u" * 900 + " pwd=hunter22"), (1, "client_id: foo99 far"), (2, "client_id: foo99 pwd=hunter22"), (3, "pwd=hunter22 " + "x " * 150 + "client_id: foo99")]
     found = secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: [s.kind for s in r.spans] for r in found} == {
         1: [],
         2: ["weak_identifier", "weak_secret"],
         3: [],
+        4: ["weak_endpoint", "weak_secret"],
     }
 
 
