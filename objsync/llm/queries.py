@@ -139,7 +139,54 @@ def op1_pii_surrogates(spark, sf_dir):
     return pii_surrogates.replace_entities(documents, SURROGATE_KEY)
 
 
-@query()
+def _hits(kind: str, pattern: str, group: int = 0, condition: str = "true") -> str:
+    """Spans of a pattern: lengths of what is before each match, and of the matches."""
+    number = list(secret_scan.KINDS).index(kind)
+    quoted = "'" + pattern.replace("'", "''") + "'"
+    return f"""
+        SELECT doc_id, '{kind}' AS kind, {number} AS kind_no, place AS start, place + length(ms[i]) AS stop
+        FROM (SELECT *, coalesce(list_sum(list_transform(bs[1 : i], lambda x: length(x))), 0)
+                     + coalesce(list_sum(list_transform(ms[1 : i - 1], lambda x: length(x))), 0) AS place
+              FROM (SELECT doc_id, regexp_split_to_array(t, {quoted}) AS bs,
+                           regexp_extract_all(t, {quoted}, 0) AS ms,
+                           regexp_extract_all(t, {quoted}, {group}) AS ps
+                    FROM d WHERE regexp_matches(t, {quoted})),
+                   unnest(range(1, len(ms) + 1)) AS u(i))
+        WHERE {condition}"""
+
+
+_SPANS = "string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, kind_no, stop)"
+_SECRET = "IN ('assign', 'hex', 'weak_secret')"
+_ROLE = "CASE WHEN {0}.kind " + _SECRET + " THEN 'secret' WHEN {0}.kind = 'weak_endpoint' THEN 'endpoint' ELSE 'identifier' END"
+
+
+@query(
+    f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    base AS ({_hits("assign", secret_scan.ASSIGN, 2, "length(ps[i]) >= 8")}
+        UNION ALL {_hits("access", secret_scan.ACCESS)}
+        UNION ALL {_hits("hex", secret_scan.HEX)}),
+    parts AS ({_hits("weak_secret", secret_scan.ASSIGN, 2, "length(ps[i]) BETWEEN 4 AND 7")}
+        UNION {_hits("weak_secret", secret_scan.LOOSE)}
+        UNION {_hits("weak_identifier", secret_scan.IDENTIFIER)}
+        UNION {_hits("weak_endpoint", secret_scan.ENDPOINT)}),
+    weak AS (
+        SELECT * FROM parts w WHERE NOT EXISTS (
+            SELECT 1 FROM base b WHERE b.doc_id = w.doc_id AND b.start < w.stop AND w.start < b.stop)),
+    linked AS (
+        SELECT DISTINCT w.* FROM weak w JOIN (FROM weak UNION ALL FROM base) p USING (doc_id)
+        WHERE {_ROLE.format("w")} <> {_ROLE.format("p")}
+          AND (w.kind {_SECRET} OR p.kind {_SECRET})
+          AND greatest(p.start - w.stop, w.start - p.stop) BETWEEN 0 AND {secret_scan.SCOPE}),
+    counted AS (
+        SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+               count(*) FILTER (kind = 'hex') AS n_hex, {_SPANS} AS listed FROM base GROUP BY doc_id),
+    whole AS (SELECT doc_id, {_SPANS} AS spans FROM (FROM base UNION ALL FROM linked) GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+           coalesce(n_hex, 0) AS n_hex, sha256(coalesce(listed, '')) AS base_sha256,
+           coalesce(spans, '') AS spans
+    FROM d LEFT JOIN counted USING (doc_id) LEFT JOIN whole USING (doc_id)"""
+)
 def op2_secret_links(spark, sf_dir):
     return secret_scan.secrets_digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -151,7 +198,48 @@ def op3_toxic_spans(spark, sf_dir):
     return toxic_spans.score_documents(documents, tagger)
 
 
-@query()
+_Z, _MOST = host_rules.Z, host_rules.MAX_STRENGTH
+
+
+@query(
+    f"""
+    WITH d AS (
+        SELECT doc_id, source, coalesce(text, '') AS t, {_WHITE_WORDS.format("coalesce(text, '')")} AS w
+        FROM documents),
+    grams AS (
+        SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS gram
+        FROM d, unnest(range(1, len(w) - 3)) AS u(i)),
+    twice AS (
+        SELECT doc_id, i FROM grams JOIN (
+            SELECT doc_id, gram FROM grams GROUP BY ALL HAVING count(*) > 1) USING (doc_id, gram)),
+    repeated AS (
+        SELECT doc_id, count(DISTINCT p) AS n FROM twice, unnest(range(i, i + 5)) AS u(p) GROUP BY doc_id),
+    counted AS (
+        SELECT doc_id, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+               length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+               len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+        FROM (SELECT *, list_filter(string_split(t, chr(10)),
+                                    lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d)
+        LEFT JOIN repeated USING (doc_id)),
+    judged AS (
+        SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+               n_words < 10 OR 100 * n_repeat_words > 20 * n_words
+               OR 2 * n_symbols > word_chars OR 2 * n_dup_lines > n_words AS failed FROM counted),
+    hosts AS (SELECT source, count(*) AS n, count(*) FILTER (failed) AS bad FROM judged GROUP BY source),
+    moments AS (
+        SELECT avg(bad / n) AS m, coalesce(var_samp(bad / n), 0) AS v, avg(1 / n) AS per FROM hosts),
+    strength AS (
+        SELECT m, CASE WHEN v - m * (1 - m) * per > m * (1 - m) / ({_MOST} + 1)
+                       THEN greatest(m * (1 - m) / (v - m * (1 - m) * per) - 1, 1.0)
+                       ELSE {_MOST} END AS k FROM moments),
+    beta AS (SELECT source, bad + m * k AS a, n - bad + (1 - m) * k AS b FROM hosts, strength),
+    verdicts AS (
+        SELECT source, round(a / (a + b) - {_Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))), 9)
+                       <= {host_rules.HOST_LIMIT} AS host_kept FROM beta)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND host_kept AS kept
+    FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source"""
+)
 def op4_host_rules(spark, sf_dir):
     return host_rules.judge_documents(table(spark, sf_dir, "documents"))
 
