@@ -753,8 +753,7 @@ def csv_round_trip(spark, sf_dir):
     """Documents encoded, landed as result sets with headers, and read back."""
     documents = table(spark, sf_dir, "documents")
     path = new_run_dir(spark, "round-trip")
-    batches = ob.payloads(documents, ["doc_id"], max_bytes=1 << 20, unique_order=True)
-    batches.select("batch_no", "payload").write.partitionBy("batch_no").text(path)
+    ob.write_result_set(documents, path)
     return ob.apply_schema(ob.read_result_sets(spark, path), documents.schema)
 
 
@@ -782,18 +781,41 @@ _PLANNED_SQL = f"""
                     // {ORDER_BATCH_BYTES} AS BIGINT) AS batch_no
     FROM (SELECT o_orderkey, {_ORDER_LINE} AS line FROM orders)"""
 
-_PAYLOAD_SQL = """
-    SELECT batch_no, count(*) AS n_rows,
-           CAST(strlen(string_agg(line, chr(10) ORDER BY o_orderkey)) + {extra} AS BIGINT)
-               AS n_bytes,
-           {head} || chr(10) || string_agg(line, chr(10) ORDER BY o_orderkey) AS payload
-    FROM ({planned}) GROUP BY batch_no"""
-
 _ORDER_HEADER = "o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority"
 
-_ORDER_PAYLOAD_SQL = _PAYLOAD_SQL.format(
-    extra=len(_ORDER_HEADER) + 1, head=f"'{_ORDER_HEADER}'", planned=_PLANNED_SQL
-)
+_LINES_SQL = """
+    SELECT line, true AS counted, true AS sized, true AS within_limit, true AS in_order
+    FROM ({rows})"""
+
+
+def payload_lines(batches, header: str, max_bytes: int, number: str, within=()):
+    """The lines of all payloads, and whether each payload is what it should be.
+
+    Rows are ordered by their first value, a whole number.
+    """
+    lines = F.split("payload", "\n")
+    rows = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
+    keys = F.transform(rows, lambda line: F.split_part(line, F.lit(","), F.lit(1)).cast("bigint"))
+    checked = batches.select(
+        *within,
+        number,
+        rows.alias("rows"),
+        keys.alias("keys"),
+        ((F.size(rows) == F.col("n_rows")) & (lines[0] == header)).alias("counted"),
+        (F.octet_length("payload") == F.col("n_bytes")).alias("sized"),
+        ((F.octet_length("payload") <= max_bytes) | (F.size(rows) == 1)).alias("within_limit"),
+    )
+    before = checked.select(
+        *within, (F.col(number) + 1).alias(number), F.array_max("keys").alias("largest_before")
+    )
+    follows = F.coalesce(F.col("largest_before") < F.array_min("keys"), F.col(number) == 1)
+    return checked.join(before, [*within, number], "left").select(
+        F.explode("rows").alias("line"),
+        "counted",
+        "sized",
+        "within_limit",
+        (follows & (F.array_sort("keys") == F.col("keys"))).alias("in_order"),
+    )
 
 
 @query(f"SELECT o_orderkey, n_bytes, batch_no FROM ({_PLANNED_SQL})")
@@ -821,41 +843,68 @@ def plan_batches_copies(spark, sf_dir):
     return planned.groupBy("batch_no").agg(F.count("*").alias("n_rows"))
 
 
-@query(_ORDER_PAYLOAD_SQL)
+@query(_LINES_SQL.format(rows=_PLANNED_SQL))
 def batch_payloads(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    return ob.payloads(orders, ["o_orderkey"], ORDER_BATCH_BYTES, unique_order=True)
+    batches = ob.payloads(orders, ["o_orderkey"], ORDER_BATCH_BYTES, unique_order=True)
+    return payload_lines(batches, _ORDER_HEADER, ORDER_BATCH_BYTES, "batch_no")
 
 
-@query(
-    f"SELECT batch_no, n_rows, n_bytes, md5(payload) AS digest FROM ({_ORDER_PAYLOAD_SQL})"
-)
-def stage_batches(spark, sf_dir):
+def staged_orders(spark, sf_dir):
+    """Staged batches of orders and their expected totals."""
+    path = new_run_dir(spark, "staged")
     staged = ob.stage_batches(
         table(spark, sf_dir, "orders"),
-        new_run_dir(spark, "staged"),
+        path,
         ["o_orderkey"],
         ORDER_BATCH_BYTES,
         unique_order=True,
     )
-    return staged.select("batch_no", "n_rows", "n_bytes", F.md5("payload").alias("digest"))
+    return staged, ob.staged_totals(spark, path)
 
 
-@query(
-    f"""
-    SELECT count(*) AS n_batches, CAST(sum(n_rows) AS BIGINT) AS n_rows,
-           CAST(sum(n_bytes) AS BIGINT) AS n_bytes, true AS success
-    FROM ({_ORDER_PAYLOAD_SQL})"""
-)
+@query(_LINES_SQL.format(rows=_PLANNED_SQL))
+def stage_batches(spark, sf_dir):
+    staged, _ = staged_orders(spark, sf_dir)
+    return payload_lines(staged, _ORDER_HEADER, ORDER_BATCH_BYTES, "batch_no")
+
+
+_CHECKED_SQL = f"""
+    SELECT count(*) AS n_rows, CAST(sum(strlen({_ORDER_LINE}) + 1) AS BIGINT) AS line_bytes,
+           true AS enough_batches, {{success}} AS success
+    FROM orders"""
+
+
+@query(_CHECKED_SQL.format(success="true"))
 def check_staged(spark, sf_dir):
-    staged = ob.stage_batches(
-        table(spark, sf_dir, "orders"),
-        new_run_dir(spark, "staged"),
-        ["o_orderkey"],
-        ORDER_BATCH_BYTES,
-        unique_order=True,
+    """The check of whole batches; each has a header besides its lines."""
+    staged, totals = staged_orders(spark, sf_dir)
+    return ob.check_staged(staged, totals).select(
+        "n_rows",
+        (F.col("n_bytes") - F.col("n_batches") * len(_ORDER_HEADER)).alias("line_bytes"),
+        (F.col("n_batches") * ORDER_BATCH_BYTES >= F.col("n_bytes")).alias("enough_batches"),
+        "success",
     )
-    return ob.check_staged(staged)
+
+
+@query("SELECT count(*) < 0 AS last_lost, count(*) < 0 AS text_lost, count(*) < 0 AS too_large FROM orders")
+def check_staged_torn(spark, sf_dir):
+    """The check fails without the last batch, with a cut text, and above the limit."""
+    staged, totals = staged_orders(spark, sf_dir)
+    last = F.col("batch_no") == totals["n_batches"]
+    cut = F.when(last, F.substring("payload", 1, 10)).otherwise(F.col("payload"))
+    checks = {
+        "last_lost": ob.check_staged(staged.where(~last), totals),
+        "text_lost": ob.check_staged(staged.withColumn("payload", cut), totals),
+        "too_large": ob.check_staged(staged, {**totals, "max_bytes": 100}),
+    }
+    found = None
+    for name, check in checks.items():
+        row = check.select(
+            *[F.col("success").alias(n) if n == name else F.lit(False).alias(n) for n in checks]
+        )
+        found = row if found is None else found.union(row)
+    return found.agg(*[F.bool_or(n).alias(n) for n in checks])
 
 
 @query(
@@ -1271,21 +1320,11 @@ _SUPPLIER_LINE = _line_sql(
 )
 
 
-def _parts_sql(rows: str) -> str:
-    return f"""
-    SELECT batch_no AS part_no, count(*) AS n_rows,
-           CAST(strlen(string_agg(line, chr(10) ORDER BY k)) + 1 AS BIGINT) AS n_bytes,
-           chr(10) || string_agg(line, chr(10) ORDER BY k) AS payload
-    FROM (SELECT k, line, 1 + CAST((sum(strlen(line)) OVER (ORDER BY k) - strlen(line))
-                                   // 16384 AS BIGINT) AS batch_no
-          FROM ({rows}))
-    GROUP BY batch_no"""
-
-
 @query(
-    _parts_sql(f"SELECT c_custkey AS k, {_CUSTOMER_LINE} AS line FROM customer")
-    + " UNION ALL "
-    + _parts_sql(f"SELECT -s_suppkey - 1 AS k, {_SUPPLIER_LINE} AS line FROM supplier")
+    _LINES_SQL.format(
+        rows=f"SELECT {_CUSTOMER_LINE} AS line FROM customer "
+        f"UNION ALL SELECT {_SUPPLIER_LINE} FROM supplier"
+    )
 )
 def publish_dataset(spark, sf_dir):
     """A dataset overwritten, then appended to; the parts as a reader finds them."""
@@ -1304,7 +1343,7 @@ def publish_dataset(spark, sf_dir):
             max_bytes=16384,
             unique_order=True,
         )
-    return ob.published_parts(spark, path).drop("run")
+    return payload_lines(ob.published_parts(spark, path), "", 16384, "part_no", ["run"])
 
 
 @query(

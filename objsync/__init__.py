@@ -43,7 +43,15 @@ from objsync.plans.publish import (
     published_manifests,
     published_parts,
 )
-from objsync.plans.stage import check_staged, payloads, stage_batches
+from objsync.plans.stage import (
+    check_staged,
+    payloads,
+    read_staged,
+    stage_batches,
+    staged_totals,
+    write_payloads,
+    write_result_set,
+)
 from objsync.plans.tables import (
     create_empty_table,
     register_extract,
@@ -94,6 +102,7 @@ __all__ = [
     "query_objects",
     "read_pages",
     "read_result_sets",
+    "read_staged",
     "register_extract",
     "replace_extract",
     "result_summary",
@@ -102,7 +111,10 @@ __all__ = [
     "save_extract",
     "save_table",
     "stage_batches",
+    "staged_totals",
     "typed_rows",
     "update_by_key",
     "update_results",
+    "write_payloads",
+    "write_result_set",
 ]

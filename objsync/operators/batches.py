@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,11 @@ CUT_MAX_BYTES = 10_000_000
 CUT_MAX_ROWS = 10_000
 SIZE_SAMPLE_ROWS = 10
 
+#: For cuts by size alone.
+NO_ROW_LIMIT = 1 << 62
+#: Shards whose first numbers are broadcast; more are joined like any table.
+BROADCAST_SHARDS = 1_000_000
+
 _SIZE = "_size"
 
 
@@ -234,20 +239,26 @@ def cut_payloads(
     shard: Column | None = None,
     unique_order: bool = False,
     partitions: int | None = None,
+    with_header: bool = True,
+    observed: Observation | None = None,
 ) -> DataFrame:
     """Batches cut as by ``cut_batches``: ``(shard, seq, n_rows, n_bytes, payload)``.
 
-    Each payload is the header line and the rows' lines. Rows are shuffled once and
-    a task holds the lines of the open batch only, so this is the cheapest way to
-    batch a large table, with strict limits.
+    Each payload is the header line, empty on request, and the rows' lines. Rows are
+    shuffled once and a task holds the lines of the open batch only, so this is the
+    cheapest way to batch a large table, with strict limits. ``observed`` receives
+    ``n_rows``, counted before rows are gathered.
     """
-    header = csv_header(df.schema)
+    header = csv_header(df.schema) if with_header else ""
     # encoded once the rows are in order, as sampling evaluates what is before
     ordered = (
         _in_shards(df, order_by, shard, unique_order, partitions)
         .select("shard", csv_line(df).alias("line"))
         .withColumn(_SIZE, row_bytes(F.col("line")) + 1)
     )
+    if observed is not None:
+        # after the shuffle, as sampling for its bounds would count rows twice
+        ordered = ordered.observe(observed, F.count("*").alias("n_rows"))
     new_counter = _greedy_counter(max_rows, max_bytes, len(header.encode()) + 1)
 
     new_collector = _payload_collector(["shard", "seq"], header)
@@ -267,6 +278,25 @@ def cut_payloads(
     )
 
 
+def numbered(cut: DataFrame, within: list[str], name: str) -> DataFrame:
+    """A stored ``cut`` of range shards with one number from 1, without a gap, in row
+    order: ``(*within, name, n_rows, n_bytes, payload)``.
+
+    Numbers start anew for each value of the columns ``within``. Only shard and seq are
+    read for them, and one small row per shard is joined.
+    """
+    sizes = cut.groupBy(*within, "shard").agg(F.max("seq").alias("_n"))
+    before = Window.partitionBy(*within, F.lit(0)).orderBy("shard")
+    before = F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select(*within, "shard", F.coalesce(before, F.lit(0)).alias("_before"))
+    if starts.count() <= BROADCAST_SHARDS:
+        starts = F.broadcast(starts)
+    number = (F.col("_before") + F.col("seq")).alias(name)
+    return cut.join(starts, [*within, "shard"]).select(
+        *within, number, "n_rows", "n_bytes", "payload"
+    )
+
+
 def _in_shards(
     df: DataFrame,
     order_by: list[str | Column],

@@ -12,12 +12,12 @@ import logging
 import time
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from objsync.operators.batches import TARGET_BATCH_BYTES
+from objsync.operators.batches import TARGET_BATCH_BYTES, numbered
 from objsync.plans.manifest import dataset_manifest
-from objsync.plans.stage import payloads
+from objsync.plans.stage import check_staged, write_payloads
 
 logger = logging.getLogger(__name__)
 
@@ -60,8 +60,9 @@ def publish_dataset(
     """Publish ``df`` as dataset ``name`` under ``path``; returns the run id.
 
     The manifest is built before anything is written, so a type it refuses stops
-    the publish. Parts start with a newline and carry no header line. They are
-    written, read back and checked before the commit record.
+    the publish. Parts start with a newline and carry no header line. They have
+    ``max_bytes`` at most, but for a single row that is larger, and are written, read
+    back and checked against what was sent before the commit record.
     """
     spark = df.sparkSession
     manifest = dataset_manifest(df.schema, name, config, type_key)
@@ -72,30 +73,18 @@ def publish_dataset(
     _write_record(spark, header, _HEADER, f"{path}/headers/run={run}")
 
     parts_path = f"{path}/parts/run={run}"
-    parts = payloads(df, order_by, max_bytes, False, unique_order)
-    sent = Observation()
-    parts.withColumnRenamed("batch_no", "part_no").observe(sent, *_totals()).write.parquet(
-        parts_path
-    )
-    stored = spark.read.parquet(parts_path).agg(*_totals()).first().asDict()
-    if stored != sent.get or stored["last_part"] != stored["n_parts"]:
+    sent = write_payloads(df, parts_path, order_by, max_bytes, False, unique_order)
+    stored = numbered(spark.read.parquet(parts_path), [], "part_no")
+    check = check_staged(stored, sent).first()
+    if not check["success"]:
         raise RuntimeError(f"parts of dataset {name} are not whole")
 
-    n_parts, n_rows, n_bytes = (stored[k] for k in ("n_parts", "n_rows", "n_bytes"))
-    commit = (run, oper, ACTION_PROCESS, time.time_ns(), n_parts, n_rows, n_bytes)
+    sums = (check["n_batches"], check["n_rows"], check["n_bytes"])
+    commit = (run, oper, ACTION_PROCESS, time.time_ns(), *sums)
     _write_record(spark, commit, _COMMIT, f"{path}/commits/run={run}")
     return run
 
 
-def _totals() -> list[Column]:
-    return [
-        F.count("*").alias("n_parts"),
-        F.coalesce(F.max("part_no"), F.lit(0)).alias("last_part"),
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n_bytes"),
-    ]
-
-
 def _write_record(spark: SparkSession, record: tuple, schema: str, path: str) -> None:
     one = spark.createDataFrame([record], schema).drop("run").coalesce(1)
     one.write.json(path)
@@ -128,10 +117,8 @@ def published_parts(spark: SparkSession, path: str) -> DataFrame:
 
     The run is a partition folder, so parts of other runs are not read.
     """
-    runs = [r["run"] for r in current_runs(spark, path).select("run").collect()]
-    if not runs:
+    runs = current_runs(spark, path).select("run")
+    if runs.isEmpty():
         raise ValueError(f"nothing has been published below {path}")
-    parts = spark.read.option("basePath", f"{path}/parts").parquet(
-        *[f"{path}/parts/run={run}" for run in runs]
-    )
-    return parts.select("run", "part_no", "n_rows", "n_bytes", "payload")
+    parts = spark.read.parquet(f"{path}/parts").join(runs, "run", "left_semi")
+    return numbered(parts, ["run"], "part_no")

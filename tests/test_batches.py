@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import objsync as ob
+from objsync.operators import batches
 from objsync.operators.positions import range_sorted
 
 
@@ -186,7 +187,7 @@ def test_rows_larger_than_a_batch_leave_no_gap(spark):
 
 def test_payloads(spark):
     df = spark.createDataFrame([(2, "b"), (1, "a"), (3, None)], "Id int, line string")
-    with_header = ob.payloads(df, ["Id"], max_bytes=6, unique_order=True)
+    with_header = ob.payloads(df, ["Id"], max_bytes=16, unique_order=True)
     assert sorted(map(tuple, with_header.collect())) == [
         (1, 2, 15, "Id,line\n1,a\n2,b"),
         (2, 1, 10, "Id,line\n3,"),
@@ -281,11 +282,47 @@ def test_staged_batches_can_be_written_again(spark, tmp_path):
     df = spark.range(500)
     for _ in range(2):
         staged = ob.stage_batches(df, path, ["id"], max_bytes=300, unique_order=True)
-        check = ob.check_staged(staged).first()
-        total = sum(len(str(i)) for i in range(500))
+        check = ob.check_staged(staged, ob.staged_totals(spark, path)).first()
+        total = sum(len(str(i)) + 1 for i in range(500))
         assert check["success"] is True
         assert check["n_rows"] == 500
-        assert check["n_batches"] == math.ceil(total / 300)
+        assert check["n_bytes"] == total + len("id") * check["n_batches"]
+        assert check["n_batches"] >= math.ceil(check["n_bytes"] / 300)
+
+
+@pytest.mark.parametrize("max_bytes", [1, 12, 300])
+def test_payloads_keep_their_limit(spark, max_bytes):
+    """Short rows, where newlines count most, and rows above the limit."""
+    df = spark.range(2000).select(
+        "id", F.when(F.col("id") % 500 == 7, F.repeat(F.lit("x"), 400)).otherwise("").alias("t")
+    )
+    found = ob.payloads(df, ["id"], max_bytes, unique_order=True).orderBy("batch_no").collect()
+    assert [r["batch_no"] for r in found] == list(range(1, len(found) + 1))
+    lines = []
+    for r in found:
+        head, *own = r["payload"].split("\n")
+        assert head == "id,t" and len(own) == r["n_rows"]
+        assert r["n_bytes"] == len(r["payload"]) and (r["n_bytes"] <= max_bytes or len(own) == 1)
+        lines += own
+    assert [int(line.split(",")[0]) for line in lines] == list(range(2000))
+
+
+def test_numbers_run_over_all_shards(spark, tmp_path):
+    path = str(tmp_path / "cut")
+    cut = ob.cut_payloads(spark.range(3000), ["id"], max_rows=70, partitions=7, unique_order=True)
+    cut.write.parquet(path)
+    found = batches.numbered(spark.read.parquet(path), [], "n").orderBy("n").collect()
+    assert [r["n"] for r in found] == list(range(1, len(found) + 1))
+    rows = [int(x) for r in found for x in r["payload"].split("\n")[1:]]
+    assert rows == list(range(3000))
+
+
+def test_files_with_headers(spark, tmp_path):
+    path = str(tmp_path / "files")
+    df = spark.range(0, 50, 1, 4).select("id", F.lit('a,"b"').alias("t"))
+    ob.write_result_set(df.where("id > 15"), path)
+    assert ob.apply_schema(ob.read_result_sets(spark, path), df.schema).exceptAll(df.where("id > 15")).count() == 0
+    assert ob.read_result_sets(spark, path).count() == 34
 
 
 def test_unsound_batches_are_found(spark):

@@ -129,17 +129,26 @@ def test_failed_part_leaves_no_commit(spark, tmp_path):
     assert lines_of(spark, path) == ["0", "1", "2", "3", "4"]
 
 
-def test_parts_that_are_not_whole_leave_no_commit(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize(
+    "part, totals",
+    [
+        ((2, 1, 2, "\nx"), (1, 1, 2)),  # a number is missing
+        ((1, 1, 9, "\nx"), (1, 1, 9)),  # a text was altered
+        ((1, 1, 2, "\nx"), (1, 2, 2)),  # a row was lost
+        ((1, 2, 4, "\nx\ny"), (1, 2, 4)),  # above the limit
+    ],
+)
+def test_parts_that_are_not_whole_leave_no_commit(spark, tmp_path, monkeypatch, part, totals):
     path = str(tmp_path / "torn")
 
-    def torn(*args):
-        return spark.createDataFrame(
-            [(2, 1, 9, "\nx")], "batch_no bigint, n_rows bigint, n_bytes bigint, payload string"
-        )
+    def torn(df, parts_path, order_by, max_bytes, *_):
+        schema = "shard bigint, seq bigint, n_rows bigint, n_bytes bigint, payload string"
+        spark.createDataFrame([(0, *part)], schema).write.parquet(parts_path)
+        return dict(zip(("n_batches", "n_rows", "n_bytes"), totals), max_bytes=max_bytes)
 
-    monkeypatch.setattr(publish, "payloads", torn)
+    monkeypatch.setattr(publish, "write_payloads", torn)
     with pytest.raises(RuntimeError):
-        ob.publish_dataset(spark.range(2), path, "S", ["id"])
+        ob.publish_dataset(spark.range(2), path, "S", ["id"], max_bytes=3)
     assert not os.path.exists(f"{path}/commits")
 
 
