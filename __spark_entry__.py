@@ -14,6 +14,7 @@ import sys
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -765,10 +766,16 @@ def estimate_bytes(spark, sf_dir):
     return ob.estimate_bytes(table(spark, sf_dir, "orders"))
 
 
-@query()
+@query("SELECT count(*) AS n_rows, true AS within_bounds FROM orders")
 def estimate_bytes_sampled(spark, sf_dir):
-    """Size from ten random rows; no SQL, as the rows are random."""
-    return ob.estimate_bytes_sampled(table(spark, sf_dir, "orders"))
+    """Size from ten random rows, which no draw can put outside these bounds."""
+    orders = table(spark, sf_dir, "orders")
+    size = ob.row_bytes(ob.csv_line(orders))
+    shortest, longest = orders.agg(F.min(size), F.max(size)).first()
+    drawn = F.expr("10 * (n_rows div 10)")
+    return ob.estimate_bytes_sampled(orders).select(
+        "n_rows", F.col("n_bytes").between(drawn * shortest, drawn * longest).alias("within_bounds")
+    )
 
 
 # ----------------------------------------------------------------------------- batches
@@ -1364,6 +1371,55 @@ def published_manifest(spark, sf_dir):
     return fields.select("name", "type", "precision", "defaultValue", "scale")
 
 
+@query(
+    "SELECT n_nationkey || ',' || n_name || ',' || n_regionkey AS line FROM nation "
+    "UNION ALL SELECT n_nationkey || ',' || n_name || ',' || n_regionkey FROM nation"
+)
+def publish_other_mode(spark, sf_dir):
+    """A save mode without an operation of its own appends."""
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    path = new_run_dir(spark, "dataset")
+    for mode in ("overwrite", "ignore"):
+        ob.publish_dataset(nations, path, "Nation", ["n_nationkey"], mode=mode, unique_order=True)
+    lines = F.split("payload", "\n")
+    parts = ob.published_parts(spark, path)
+    return parts.select(F.explode(F.slice(lines, 2, F.size(lines))).alias("line"))
+
+
+@query("SELECT count(*) AS n_rows, true AS refused, false AS written FROM orders")
+def refused_scale(spark, sf_dir):
+    """A scale above the limit stops a publish before anything is written."""
+    orders = table(spark, sf_dir, "orders")
+    path = new_run_dir(spark, "dataset")
+    kind = orders.schema["o_totalprice"].dataType.typeName()
+    config = {kind: {"type": "Numeric", "precision": "18", "scale": "7"}}
+    refused = written = False
+    try:
+        ob.publish_dataset(orders, path, "Order", ["o_orderkey"], config=config)
+    except ValueError:
+        refused = True
+    try:
+        written = not spark.read.text(path, recursiveFileLookup=True).isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return orders.agg(
+        F.count("*").alias("n_rows"), F.lit(refused).alias("refused"), F.lit(written).alias("written")
+    )
+
+
+@query("SELECT *, CAST(0 AS BIGINT) AS n_before FROM orders")
+def empty_table(spark, sf_dir):
+    """An empty table has no rows and takes those of the table whose schema it has."""
+    orders = table(spark, sf_dir, "orders")
+    path = new_run_dir(spark, "empty")
+    name = f"empty_{path[-12:]}"
+    ob.create_empty_table(orders, name, path)
+    before = spark.table(name).count()
+    orders.write.insertInto(name)
+    return spark.table(name).withColumn("n_before", F.lit(before).cast("bigint"))
+
+
 @query("SELECT * FROM orders")
 def extract_table(spark, sf_dir):
     """An extract written as files and read through a table over them."""

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 # What makes a CSV value need quotes.
 NEEDS_QUOTES = '[",\n\r]'
 
+#: Types whose text never needs quotes.
+_BARE = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def plain_text(value: Column, data_type: T.DataType) -> Column:
     """A value as text. Timestamps always show a fraction, at least ``.0``."""
@@ -31,13 +34,19 @@ def csv_value(text: Column) -> Column:
     )
 
 
+def _csv_field(field: T.StructField) -> Column:
+    text = plain_text(F.col(quoted(field.name)), field.dataType)
+    if isinstance(field.dataType, _BARE):
+        return F.coalesce(text, F.lit(""))
+    return csv_value(text)
+
+
 def csv_line(df: DataFrame) -> Column:
     """All columns of ``df`` as one CSV line.
 
     The columns are taken by name, so it also fits what ``df`` is turned into.
     """
-    fields = df.schema.fields
-    values = [csv_value(plain_text(F.col(quoted(f.name)), f.dataType)) for f in fields]
+    values = [_csv_field(f) for f in df.schema.fields]
     if len(values) == 1:
         # a lone empty value would be an empty line, which CSV readers skip
         return F.when(values[0] == "", '""').otherwise(values[0])

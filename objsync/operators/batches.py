@@ -202,8 +202,9 @@ def cut_batches(
 
     By default a shard is one range partition, which is balanced for any keys but
     may differ from one evaluation to the next: write the result before using it
-    twice. A ``shard`` column makes the cut a function of the data; its shards
-    should be of like size, as each is streamed through one task.
+    twice. A ``shard`` column makes the cut a function of the data; each of its shards
+    is streamed through one task, so it is for shards of bounded size, and a row
+    without a shard is refused.
     """
     ordered = _in_shards(df, order_by, shard, unique_order, partitions).withColumn(
         _SIZE, row_bytes(csv_line(df)) + 1
@@ -309,8 +310,10 @@ def _in_shards(
             "shard", F.spark_partition_id().cast("bigint")
         )
     keys = [F.col(quoted(k)) if isinstance(k, str) else k for k in order_by]
+    given = shard.cast("bigint")
+    refused = F.raise_error(F.lit("a row has no shard")).cast("bigint")
     return (
-        df.withColumn("shard", F.coalesce(shard.cast("bigint"), F.lit(0)))
+        df.withColumn("shard", F.when(given.isNotNull(), given).otherwise(refused))
         .repartition("shard")
         .sortWithinPartitions("shard", *keys)
     )

@@ -332,3 +332,19 @@ def test_unsound_batches_are_found(spark):
     for bad in ([(1, 1, 4, "a\nb")], [(2, 1, 1, "c")], [(1, 1, 1, "c"), (1, 1, 1, "c")]):
         assert ob.check_staged(spark.createDataFrame(bad, schema)).first()["success"] is False
     assert ob.check_staged(spark.createDataFrame([], schema)).first()["success"] is True
+
+
+def test_a_row_without_a_shard_is_refused(spark):
+    df = spark.range(5)
+    shard = F.when(F.col("id") < 4, F.lit(1))
+    with pytest.raises(Exception, match="no shard"):
+        ob.cut_batches(df, ["id"], shard=shard).collect()
+
+
+def test_bare_types_need_no_quotes(spark):
+    df = spark.sql(
+        "SELECT 1.50D AS a, true AS b, date'2020-01-02' AS c, timestamp'2020-01-02 03:04:05' AS d,"
+        " CAST(NULL AS INT) AS e, array('x', 'y') AS f"
+    )
+    line = df.select(ob.csv_line(df)).first()[0]
+    assert line == '1.5,true,2020-01-02,2020-01-02 03:04:05.0,,"[x, y]"'
