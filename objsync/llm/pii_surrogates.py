@@ -8,7 +8,9 @@ checksum, addresses their top-level domain, and names after a title are drawn by
 title's gender. A surrogate that two entities share, or that is itself an original, is
 drawn again for all but one of them until none is left. Only entities are shuffled, and
 the texts that have some; an entity in very many texts is joined by a join that can be
-split.
+split. All mentions of the words of a name that has a title in its document are replaced
+with it; a word that both genders have there is drawn for the male one where it stands
+without a title.
 
 Defined results: a null text stays null; repeated rows get the same surrogates; texts
 without entities stay as they are; an empty table gives an empty result; further columns
@@ -17,28 +19,70 @@ are kept.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import text_or_empty, written
 from .spans import apart, matches, replaced
 
-# fixed values: patterns of the kinds, in order of precedence
+# fixed values: patterns of the kinds
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-PHONE = r"\+\d{1,3} ?\(\d{3}\) ?\d{3}-\d{4}"
-CARD = r"(?<![\dA-Za-z])\d{4}(?:[ -]?\d{4}){3}(?![\dA-Za-z])"
-IP = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
+_IP = r"(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
+IP = r"(?<![\d.])" + _IP
+_FOURS = r"\d{4}(?:[ -]?\d{4}){3}(?![\dA-Za-z])"
+#: Four groups of four digits, whatever their checksum.
+CARD = r"(?<![\dA-Za-z])" + _FOURS
+#: 12 to 19 digits in any grouping, the usual ones first; only with the checksum.
+CARD_LUHN = (
+    r"(?<![\dA-Za-z])(?=\d(?:[ -]?\d){11})(?:\d{12,19}|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{4}(?:[ -]\d{4}){3}[ -]\d{3}"
+    r"|\d{4}(?:[ -]\d{3}){3}|\d(?:[ -]?\d){11,18})(?![\dA-Za-z])"
+)
+_DATE = r"(?:\d{1,2}[./-]\d{1,2}[./-]\d{2}(?:\d{2})?|\d{4}[./-]\d{1,2}[./-]\d{1,2})(?![./-]?\d)"
+#: With a country code after a plus, 7 to 15 digits in any grouping; without one, by the
+#: usual forms: 3-3-4, an area code in brackets or after a zero, three groups or more of 8
+#: to 15 digits, 3-4, an area code and 6 to 8 digits, and 10 to 12 digits in one.
+PHONE = (
+    r"(?=[+(\d])(?:\+\d{1,3} ?\(\d{3}\) ?\d{3}-\d{4}(?!\d)"
+    r"|\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+    rf"|\+\d(?:[ ./()-]{{1,2}}(?!{_IP}|{_FOURS})\d|\d){{6,14}}(?!\d)"
+    rf"|(?<![\p{{L}}\d_])(?<!\d[./-])(?!{_DATE}|{_IP}|{_FOURS})(?:"
+    r"(?:1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}"
+    rf"|\(\d{{2,5}}\)(?:[ ./-](?!{_IP}|{_FOURS})\d|\d){{5,11}}"
+    rf"|0\d(?:[ ./-](?!{_IP}|{_FOURS})\d|\d){{5,12}}"
+    r"|(?=\d(?:[ ./-]?\d){7,14}(?![ ./-]?\d))\d{2,5}(?:[ ./-]\d{2,5}){2,5}"
+    r"|\d{3}[.-]\d{4}|\d{3,5}[ /-]\d{6,8}|\d{10,12}"
+    r")(?![\p{L}\d_]|[./-]\d))"
+)
 HE = r"(?:Mr\.?|Herr|Señor|Monsieur|г-н)"
 SHE = r"(?:Mrs\.?|Ms\.?|Frau|Señora|Madame|г-жа)"
-_NAME = r"(?<!\p{{L}}){0} (\p{{Lu}}\p{{Ll}}+)(?!\p{{L}})"
+_AFTER = r"(?:['’](?:\p{Lu}[\p{L}\p{M}]*|[\p{L}\p{M}]{3,}))*"
+#: A capitalized word of a name; an apostrophe joins, but not before a short ending.
+WORD = r"(?<![\p{L}\p{M}])\p{Lu}[\p{L}\p{M}]*" + _AFTER
+_PART = (
+    r"(?!(?:Mrs?|Ms|Herr|Frau|Señora?|Monsieur|Madame|Dr|Prof|г-н|г-жа)(?!\p{L}))"
+    rf"\p{{Lu}}[\p{{L}}\p{{M}}]*{_AFTER}(?:-(?:\p{{Ll}}{{2,3}}-)?\p{{Lu}}[\p{{L}}\p{{M}}]*{_AFTER})*"
+)
+_SMALL = r"(?:(?:von|vom|van|der|den|zu|zur|de|del|della|di|da|dos|du|des|la|le|las|los|el|bin|ibn|al|y|фон|де) )*(?:d['’])?"
+_PARTS = rf"{_SMALL}{_PART}(?:(?<=(?<!\p{{L}})\p{{Lu}})\.)?"
+
+
+def _name(title: str) -> str:
+    """One to five words after a title, hyphens, small words and initials among them."""
+    return rf"(?<!\p{{L}}){title}\s(?:(?:Dr|Prof|Ing)\.? )*({_PARTS}(?: {_PARTS}){{0,4}})(?!\p{{L}})"
+
+
 KINDS = {
     "email": (EMAIL, 0),
     "phone": (PHONE, 0),
     "card": (CARD, 0),
     "ip": (IP, 0),
-    "name_he": (_NAME.format(HE), 1),
-    "name_she": (_NAME.format(SHE), 1),
+    "name_he": (_name(HE), 1),
+    "name_she": (_name(SHE), 1),
 }
+#: Of spans with one start the first of these holds, and mentions of names come last.
+PRECEDENCE = ["email", "card_luhn", "card", "ip", "phone", "name_he", "name_she", "mention"]
+# fixed value: country codes, one digit to three
+_COUNTRY = r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 # fixed values: syllables of names by script, and endings by script and gender
 _LATIN = ["ba", "da", "fe", "ga", "ka", "le", "mi", "no", "pa", "ri", "so", "ta", "ve", "lo", "ne", "ru"]
 _CYRILLIC = ["ба", "да", "ве", "га", "ка", "ле", "ми", "но", "па", "ри", "со", "та", "зе", "ло", "не", "ру"]
@@ -46,27 +90,63 @@ _ENDINGS = {"name_he": ("n", "н"), "name_she": ("a", "я")}
 
 
 def _entities(text: Column) -> Column:
-    """Spans with kind and the part that is replaced, apart from each other."""
-    def of(number: int, kind: str) -> Column:
-        pattern, group = KINDS[kind]
-        return F.transform(
-            matches(text, pattern, group),
-            lambda x: F.struct(
-                (x["end"] - F.length(x["part"])).alias("start"),
-                F.lit(number).alias("number"),
-                x["end"].alias("end"),
-                F.lit(kind).alias("kind"),
-                x["part"].alias("value"),
-            ),
+    """Spans with kind and the part that is replaced, apart from each other.
+
+    A name has a span for each of its words; ``head`` is true for the first.
+    """
+
+    def span(start: Column, end: Column, value: Column, label: str, kind: str, head: Column) -> Column:
+        return F.struct(
+            start.cast("long").alias("start"),
+            F.lit(PRECEDENCE.index(label)).alias("number"),
+            end.cast("long").alias("end"),
+            F.lit(kind).alias("kind"),
+            value.alias("value"),
+            head.alias("head"),
         )
 
-    found = [of(number, kind) for number, kind in enumerate(KINDS)]
-    return apart(F.concat(*found))
+    def plain(found: Column, label: str, kind: str) -> Column:
+        return F.transform(found, lambda x: span(x["start"], x["end"], x["value"], label, kind, F.lit(True)))
+
+    def words(kind: str) -> Column:
+        pattern, group = KINDS[kind]
+
+        def of(x: Column) -> Column:
+            at = x["end"] - F.length(x["part"])
+            return F.transform(
+                matches(x["part"], WORD), lambda w, i: span(at + w["start"], at + w["end"], w["value"], kind, kind, i == 0)
+            )
+
+        return F.flatten(F.transform(matches(text, pattern, group), of))
+
+    summed = F.filter(matches(text, CARD_LUHN), lambda x: _luhn(_digits(x["value"])) == 0)
+    found = [plain(matches(text, KINDS[kind][0]), kind, kind) for kind in ("email", "phone", "card", "ip")]
+    return apart(F.concat(*found, plain(summed, "card_luhn", "card"), words("name_he"), words("name_she")))
+
+
+def _some(text: Column) -> Column:
+    """Whether there may be an entity: exact but for checksums, cheap tests first."""
+    numbers = text.rlike(r"\d(?:[ ()./-]{0,2}\d){3}") & text.rlike(f"{PHONE}|{CARD}|{CARD_LUHN}|{IP}")
+    names = text.rlike("|".join(f"(?:{KINDS[k][0]})" for k in ("name_he", "name_she")))
+    return (text.contains("@") & text.rlike(EMAIL)) | numbers | names
+
+
+def _digits(value: Column) -> Column:
+    return F.regexp_replace(value, r"\D", "")
 
 
 def _normal(kind: Column, value: Column) -> Column:
-    digits = F.regexp_replace(value, r"\D", "")
-    return F.when(kind.isin("phone", "card"), digits).otherwise(F.lower(value))
+    """One form for all ways of writing; a phone number of 3-3-4 digits is of country 1."""
+    digits = _digits(value)
+    phone = (
+        F.when(value.startswith("+"), F.concat(F.lit("+"), digits))
+        .when(digits.rlike("^00[1-9]"), F.concat(F.lit("+"), F.substring(digits, F.lit(3), F.length(digits))))
+        .when(digits.rlike("^1[2-9][0-9]{9}$"), F.concat(F.lit("+"), digits))
+        .when(digits.rlike("^[2-9][0-9]{9}$"), F.concat(F.lit("+1"), digits))
+        .otherwise(digits)
+    )
+    name = F.regexp_replace(F.lower(value), "’", "'")
+    return F.when(kind == "phone", phone).when(kind == "card", digits).otherwise(name)
 
 
 def _byte(stream: Column, i: Column) -> Column:
@@ -89,9 +169,10 @@ def _drawn(key: str, kind: Column, normal: Column, attempt: Column) -> Column:
     spelled = F.array_join(F.transform(chars, alike), "")
     top = F.substring_index(normal, ".", -1)
     email = F.concat(F.substring(spelled, F.lit(1), F.length(normal) - F.length(top)), top)
-    # the country code of a phone number and the issuer digit of a card stay
-    phone = F.concat(F.substring(normal, F.lit(1), F.length(normal) - 10), F.substring(spelled, F.length(normal) - 9, F.lit(10)))
-    card = F.concat(F.substring(normal, 1, 1), F.substring(spelled, 2, 14))
+    # the country code or leading zeros of a phone number and the issuer digit of a card stay
+    code = F.regexp_extract(normal, rf"^(?:{_COUNTRY}|0{{0,2}})", 0)
+    phone = F.concat(code, F.substring(spelled, F.length(code) + 1, F.length(normal)))
+    card = F.concat(F.substring(normal, 1, 1), F.substring(spelled, F.lit(2), F.length(normal) - 2))
     card = F.concat(card, ((_luhn(F.concat(card, F.lit("0"))) * 9 + _luhn(normal)) % 10).cast("string"))
     ip = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (_byte(stream, i * 3) % 254 + 1).cast("string")), ".")
 
@@ -127,6 +208,12 @@ def _luhn(digits: Column) -> Column:
 def _written_like(value: Column, kind: Column, surrogate: Column) -> Column:
     """The surrogate in the format of ``value``: separators and capitals."""
     chars = F.split(value, "")
+    # a phone number may be written without its country code, or with zeros before it
+    own, drawn = _digits(value), _digits(surrogate)
+    less = F.length(own) - F.length(drawn)
+    shown = F.when(less > 0, F.concat(F.substring(own, F.lit(1), less), drawn)).otherwise(
+        F.substring(drawn, 1 - less, F.length(own))
+    )
     digits = F.aggregate(
         chars,
         F.struct(F.lit(0).alias("used"), F.lit("").alias("text")),
@@ -134,7 +221,7 @@ def _written_like(value: Column, kind: Column, surrogate: Column) -> Column:
             c.rlike("[0-9]"),
             F.struct(
                 (held["used"] + 1).alias("used"),
-                F.concat(held["text"], F.substring(surrogate, held["used"] + 1, F.lit(1))).alias("text"),
+                F.concat(held["text"], F.substring(shown, held["used"] + 1, F.lit(1))).alias("text"),
             ),
         ).otherwise(F.struct(held["used"].alias("used"), F.concat(held["text"], c).alias("text"))),
         lambda held: held["text"],
@@ -146,6 +233,7 @@ def _written_like(value: Column, kind: Column, surrogate: Column) -> Column:
         F.when(kind.isin("phone", "card"), digits)
         .when(kind == "email", capitals)
         .when(kind == "ip", surrogate)
+        .when((F.length(value) > 1) & (value == F.upper(value)), F.upper(surrogate))
         .otherwise(F.initcap(surrogate))
     )
 
@@ -166,37 +254,70 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         now = judged.select("kind", "normal", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
 
 
+def _mentions(found: DataFrame, each: DataFrame) -> DataFrame:
+    """Rows like ``each`` for all words that are words of a name found in their document."""
+    zipped = F.arrays_zip(
+        F.split("text", WORD, -1).alias("before"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("value")
+    )
+    words = found.where("text is not null").select("__print", F.posexplode(zipped).alias("i", "w"))
+    words = words.select("__print", "i", F.length("w.before").alias("before"), F.col("w.value").alias("value"))
+    words = words.where("value is not null").withColumn("size", F.length("value"))
+    upto = F.sum(F.col("before") + F.col("size")).over(Window.partitionBy("__print").orderBy("i"))
+    words = words.select("__print", (upto - F.col("size")).alias("start"), upto.alias("end"), "value")
+    words = words.withColumn("normal", _normal(F.lit("name"), F.col("value")))
+    names = each.where(_NAMED).where(F.length("value") > 1).groupBy("__print", "normal").agg(F.min("kind").alias("kind"))
+    held = words.join(names, ["__print", "normal"])
+    before = F.lag("end").over(Window.partitionBy("__print").orderBy("start"))
+    head = F.coalesce(F.col("start") - before > 1, F.lit(True)).alias("head")
+    number = F.lit(PRECEDENCE.index("mention")).alias("number")
+    return held.select("__print", "start", number, "end", "kind", "value", head, "normal")
+
+
+_NAMED = "kind in ('name_he', 'name_she')"
+
+
 def replace_entities(documents: DataFrame, key: str, *, text_column: str = "text") -> DataFrame:
     """``documents`` with surrogates in their texts, and ``n_<kind>`` counts of entities."""
     text = text_or_empty(text_column)
-    some = text.rlike("|".join(f"(?:{pattern})" for pattern, _ in KINDS.values()))
+    some = _some(text)
     print_ = F.xxhash64(text)
+    found = documents.where(some).select(print_.alias("__print"), _entities(text).alias("found"), text.alias("text"))
+    named = F.exists("found", lambda e: e["kind"].isin("name_he", "name_she"))
     found = written(
-        documents.where(some).select(print_.alias("__print"), _entities(text).alias("found")).dropDuplicates(["__print"]),
-        "found",
+        found.select("__print", "found", F.when(named, F.col("text")).alias("text")).dropDuplicates(["__print"]), "found"
     )
     each = found.select("__print", F.explode("found").alias("e")).select(
-        "__print", "e.start", "e.end", "e.kind", "e.value", _normal(F.col("e.kind"), F.col("e.value")).alias("normal")
+        "__print", "e.*", _normal(F.col("e.kind"), F.col("e.value")).alias("normal")
+    )
+    # an initial is drawn as a letter, which others may share
+    initial = F.expr(_NAMED) & (F.length("normal") == 1)
+    mapping = surrogates(each.where(~initial).select("kind", "normal").distinct(), key)
+    letters = F.when(F.col("normal").rlike(r"\p{IsCyrillic}"), F.lit("абвгдежзиклмнопрстуфхэюя")).otherwise(
+        F.lit("abcdefghijklmnopqrstuvwxyz")
     )
-    mapping = surrogates(each.select("kind", "normal").distinct(), key)
+    place = F.pmod(_byte(F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", "normal"), 512), F.lit(0)), F.length(letters)) + 1
+    letter = F.substring(letters, place.cast("int"), F.lit(1))
     edits = (
-        each.join(mapping, ["kind", "normal"])
+        each.unionByName(_mentions(found, each))
+        .join(mapping, ["kind", "normal"], "left")
+        .withColumn("surrogate", F.coalesce("surrogate", F.when(initial, letter)))
         .select(
             "__print",
             F.struct(
-                "start", "end", _written_like(F.col("value"), F.col("kind"), F.col("surrogate")).alias("value"), "kind"
+                "start", "number", "end",
+                _written_like(F.col("value"), F.col("kind"), F.col("surrogate")).alias("value"), "kind", "head",
             ).alias("edit"),
         )
         .groupBy("__print")
-        .agg(F.array_sort(F.collect_list("edit")).alias("__edits"))
+        .agg(apart(F.collect_list("edit")).alias("__edits"))
     )
 
     def counts(edits_: Column | None) -> list[Column]:
         if edits_ is None:
             return [F.lit(0).cast("long").alias(f"n_{k}") for k in KINDS]
-        kinds = F.transform(edits_, lambda x: x["kind"])
+        heads = F.transform(F.filter(edits_, lambda x: x["head"]), lambda x: x["kind"])
         return [
-            (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in KINDS
+            (F.size(heads) - F.size(F.array_remove(heads, k))).cast("long").alias(f"n_{k}") for k in KINDS
         ]
 
     others = [c for c in documents.columns if c not in {f"n_{k}" for k in KINDS}]

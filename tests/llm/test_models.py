@@ -55,6 +55,51 @@ def test_surrogates(spark):
     assert (sum(digits[::2]) + sum(d * 2 - 9 * (d > 4) for d in digits[1::2])) % 10 == 0
 
 
+def test_surrogates_of_general_forms(spark):
+    phones = ["(555) 123-4567", "555-123-4567", "+49 30 1234567", "030/1234567", "01 23 45 67 89", "555-1234", "5551234567"]
+    phones += ["+1 555 123 4567", "+44 (0)20 7946 0958", "1-555-123-4567"]
+    cards = ["378282246310005", "3782 822463 10005", "30569309025904", "4222222222222", "6304 0000 0000 0000 000"]
+    kept = ["2024-01-15 10:30", "01.02.2024", "1914-1918", "3.14159265", "1 000 000", "v12.3", "378282246310006"]
+    rows = [(i, f"call {p} now") for i, p in enumerate(phones)]
+    rows += [(100 + i, f"paid {c}, then") for i, c in enumerate(cards)]
+    rows += [(200 + i, f"see {k} there") for i, k in enumerate(kept)]
+    rows += [(300, "+1 (826) 555-4081 190.137.223.204 and 2353820953013749 4550997810720808")]
+    got = pii_surrogates.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()
+    texts, before = {r.doc_id: r for r in got}, dict(rows)
+    for i in range(len(phones)):
+        assert texts[i].n_phone == 1 and texts[i].text != before[i], phones[i]
+        assert re.sub(r"\d", "0", texts[i].text) == re.sub(r"\d", "0", before[i])
+    for i in range(100, 100 + len(cards)):
+        assert texts[i].n_card == 1 and texts[i].text != before[i], before[i]
+        digits = [int(c) for c in re.sub(r"\D", "", texts[i].text)[::-1]]
+        assert (sum(digits[::2]) + sum(d * 2 - 9 * (d > 4) for d in digits[1::2])) % 10 == 0
+    assert [texts[i].text for i in range(200, 200 + len(kept))] == [before[i] for i in range(200, 200 + len(kept))]
+    assert (texts[300].n_phone, texts[300].n_ip, texts[300].n_card) == (1, 1, 2)
+    same = [re.sub(r"\D", "", texts[i].text)[-10:] for i in (0, 1, 6, 7, 9)]
+    assert len(set(same)) == 1 and texts[2].text.startswith("call +49 ")
+
+
+def test_surrogates_of_whole_names_and_mentions(spark):
+    rows = [
+        (1, "Mr. John Smith met Smith's son. John left; SMITH and John Smith stayed. A smith works."),
+        (2, "Frau Mueller-Schmidt and Herr Dr. von Goethe; Schmidt spoke to Goethe."),
+        (3, "Mr. O'Brien, Mrs. Mary J. McDonald-Lee. O'Brien and McDonald."),
+        (4, "Smith and Schmidt are not titled here"),
+    ]
+    got = pii_surrogates.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()
+    by_id = {r.doc_id: r for r in got}
+    john, smith = re.match(r"Mr\. (\w+) (\w+) met", by_id[1].text).groups()
+    assert by_id[1].text == (
+        f"Mr. {john} {smith} met {smith}'s son. {john} left; {smith.upper()} and {john} {smith} stayed. A smith works."
+    )
+    assert not {john, smith} & {"John", "Smith"} and by_id[1].n_name_he == 5
+    left, right, goethe = re.match(r"Frau (\w+)-(\w+) and Herr Dr\. von (\w+);", by_id[2].text).groups()
+    assert by_id[2].text.endswith(f"; {right} spoke to {goethe}.") and left != "Mueller" and goethe != "Goethe"
+    assert not re.search("Brien|Mary|McDonald|Lee", by_id[3].text) and by_id[3].n_name_she == 2
+    assert re.match(r"Mr\. (\w+), Mrs\. \w+ [A-Z]\. (\w+)-\w+\. \1 and \2\.$", by_id[3].text)
+    assert by_id[4].text == rows[3][1]
+
+
 def test_reputation(spark):
     urls = [
         "http://a.net/x", "https://M.Example.net/en/1?q", "http://example.com/de/#f", "http://x.org/fr/", "no url",
