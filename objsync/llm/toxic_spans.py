@@ -2,7 +2,9 @@
 
 Labels are of documents, so tokens are labelled first: features of words (the word and
 its prefixes) that labelled toxic documents have and clean ones do not, by a
-log-likelihood ratio over distinct texts, mark the toxic tokens of toxic documents. On
+log-likelihood ratio over distinct texts, mark the toxic tokens of toxic documents. Near
+copies share one vote; if that leaves most toxic texts without a marker, as when they are
+one group of copies, features that texts vote for singly are added. On
 these tokens a CRF with two tags is fitted: weights of marker features, a bias, and
 transitions. Forward-backward marginals tag tokens; a document's score is a logistic of
 the expected number of its toxic tokens, and their places are the offending offsets.
@@ -33,8 +35,8 @@ FITTED, FITTED_WORDS = 150, 3000
 PREFIXES = range(3, 8)
 #: Log-likelihood ratio from which a feature is a marker, and clean texts per toxic one.
 RATIO, CLEAN = 24.0, 0.02
-#: Different marked words, and their share of a text, from which it counts as a copy.
-MANY, MANY_SHARE = 12, 0.05
+#: Minima of a text's sketch, and the share of equal ones from which texts are near copies.
+SKETCH, ALIKE = 32, 0.4
 THRESHOLD = 0.7
 
 
@@ -53,19 +55,84 @@ def _features(texts: Texts) -> np.ndarray:
     return out
 
 
-def _emit_features(batches):
+def _sketches(batches):
+    """``(id, sketch)`` of texts with words: least hashes of their runs of three words."""
+    seeds = mix(np.arange(1, SKETCH + 1, dtype=np.uint64))[:, None]
     for batch in batches:
         data = [t or b"" for t in encoded(batch.column("text"))]
-        toxic = batch.column("toxic").to_numpy()
+        ids, sketches = [], []
         for a, b in blocks(data):
             texts = Texts(data[a:b], ALNUM_FOLDED)
-            features = _features(texts)
-            for d in range(b - a):
-                own = np.unique(features[:, texts.first[d] : texts.first[d + 1]])
-                own = own[own > 0]
-                yield pa.RecordBatch.from_pydict(
-                    {"feature": signed(own), "toxic": np.full(len(own), toxic[a + d], dtype=np.int32)}
-                )
+            for d in np.flatnonzero(texts.counts).tolist():
+                h = texts.hashes[texts.first[d] : texts.first[d + 1]]
+                if len(h) > 2:
+                    h = mix(mix(mix(h[:-2]) + h[1:-1]) + h[2:])
+                low = np.full(SKETCH, np.iinfo(np.uint64).max, dtype=np.uint64)
+                for at in range(0, len(h), 1 << 14):
+                    low = np.minimum(low, mix(h[at : at + (1 << 14)][None] ^ seeds).min(axis=1))
+                ids.append(batch.column("id")[a + d].as_py())
+                sketches.append(low.tobytes())
+        yield pa.RecordBatch.from_pydict({"id": pa.array(ids, pa.int64()), "sketch": pa.array(sketches, pa.binary())})
+
+
+def copy_groups(sketches: np.ndarray) -> np.ndarray:
+    """A number for each row; near copies, by two equal minima and a look at all, share it."""
+    n = len(sketches)
+    label = np.arange(n)
+    edges = []
+    for j in range(0, SKETCH if n else 0, 2):
+        order = np.lexsort((sketches[:, j + 1], sketches[:, j]))
+        key = sketches[order, j : j + 2]
+        new = np.append(True, (key[1:] != key[:-1]).any(axis=1))
+        head = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        alike = (sketches[order] == sketches[head]).mean(axis=1) >= ALIKE
+        edges.append(np.stack((order[alike], head[alike])))
+    while n:
+        a, b = np.concatenate(edges, axis=1)
+        after = label.copy()
+        least = np.minimum(label[a], label[b])
+        np.minimum.at(after, a, least)
+        np.minimum.at(after, b, least)
+        after = after[after]
+        if (after == label).all():
+            break
+        label = after
+    return label
+
+
+def _votes(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ids of the sampled texts with words and the vote of each: one for a group of near copies."""
+    got = rows.mapInArrow(_sketches, "id long, sketch binary").join(rows.select("id", "toxic"), "id").toArrow()
+    ids = got["id"].to_numpy()
+    sketches = np.frombuffer(b"".join(got["sketch"].to_pylist()), dtype=np.uint64).reshape(-1, SKETCH)
+    both = copy_groups(sketches) * 2 + got["toxic"].to_numpy()
+    _, group, size = np.unique(both, return_inverse=True, return_counts=True)
+    order = np.argsort(ids)
+    return ids[order], (1 / size[group])[order]
+
+
+def _emit_features(votes):
+    def run(batches):
+        ids, vote = votes.value
+        for batch in batches:
+            data = [t or b"" for t in encoded(batch.column("text"))]
+            toxic = batch.column("toxic").to_numpy()
+            at = np.searchsorted(ids, batch.column("id").to_numpy())
+            for a, b in blocks(data):
+                texts = Texts(data[a:b], ALNUM_FOLDED)
+                features = _features(texts)
+                for d in np.flatnonzero(texts.counts).tolist():
+                    own = np.unique(features[:, texts.first[d] : texts.first[d + 1]])
+                    own = own[own > 0]
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "feature": signed(own),
+                            "toxic": np.full(len(own), toxic[a + d], dtype=np.int32),
+                            "vote": np.full(len(own), vote[at[a + d]]),
+                        }
+                    )
+
+    return run
 
 
 def _sampled(labelled: DataFrame, sample: int) -> DataFrame:
@@ -75,7 +142,7 @@ def _sampled(labelled: DataFrame, sample: int) -> DataFrame:
         sample * 2 / 3 / max(1, sizes.get(0, 0))
     )
     drawn = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000)
-    return drawn.groupBy("text").agg(F.max("toxic").alias("toxic"))
+    return drawn.groupBy("text").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("id", F.xxhash64("text"))
 
 
 class Tagger:
@@ -195,53 +262,57 @@ class Tagger:
         return (np.concatenate(words) if words else np.zeros(0, np.int64)), expected
 
 
-def _varied(tagger):
-    """Texts less those with many different marked words: copies of a toxic text.
-
-    All words of a large group of copies mark it as well as the telling ones do.
-    """
+def _covered(tagger):
+    """How many texts have a marker."""
 
     def run(batches):
         for batch in batches:
             data = [t or b"" for t in encoded(batch.column("text"))]
-            keep = np.ones(len(data), dtype=bool)
+            n = 0
             for a, b in blocks(data):
                 texts = Texts(data[a:b], ALNUM_FOLDED)
-                word = np.unique(tagger.value.found(texts)[1])
-                pairs = np.stack((texts.owner()[word].astype(np.uint64), texts.hashes[word]), axis=1)
-                n = np.bincount(np.unique(pairs, axis=0)[:, 0].astype(np.int64), minlength=b - a)
-                keep[a:b] = (n <= MANY) | (n <= MANY_SHARE * texts.counts)
-            yield batch.filter(pa.array(keep))
+                n += len(np.unique(texts.owner()[tagger.value.found(texts)[1]]))
+            yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
 
     return run
 
 
 def _markers(rows: DataFrame) -> np.ndarray:
-    """Features that toxic texts have and clean ones do not, of ``(text, toxic)`` rows."""
-    sizes = {int(r["toxic"]): r["count"] for r in rows.groupBy("toxic").count().collect()}
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    if not n1:
+    """Features that toxic texts have and clean ones do not, of ``(text, toxic, id)`` rows."""
+    context = rows.sparkSession.sparkContext
+    ids, vote = _votes(rows)
+    toxic = rows.where("toxic = 1").select("id").toArrow()["id"].to_numpy()
+    hot = np.isin(ids, toxic)
+    if not hot.any():
         return np.zeros(0, np.uint64)
-    counts = rows.mapInArrow(_emit_features, "feature long, toxic int").groupBy("feature").agg(
-        F.sum("toxic").cast("double").alias("k1"), F.sum(1 - F.col("toxic")).cast("double").alias("k0")
-    )
-    share = n1 / (n1 + n0)
-    both = F.col("k1") + F.col("k0")
+    one = F.col("toxic") == 1
+    sums = {"k1": F.when(one, F.col("vote")), "k0": F.when(~one, F.col("vote")), "t1": F.when(one, 1.0), "t0": F.when(~one, 1.0)}
+    counts = rows.mapInArrow(_emit_features(context.broadcast((ids, vote))), "feature long, toxic int, vote double")
+    counts = counts.groupBy("feature").agg(*[F.coalesce(F.sum(v), F.lit(0.0)).alias(k) for k, v in sums.items()])
+
+    def marks(k1: str, k0: str, n1: float, n0: float):
+        k1, k0 = F.col(k1), F.col(k0)
+        share, both = n1 / (n1 + n0), k1 + k0
+
+        def part(k, p: float):
+            return F.when(k > 0, k * F.log(k / (both * max(p, 1e-9)))).otherwise(0.0)
 
-    def part(k, p: float):
-        return F.when(k > 0, k * F.log(k / (both * max(p, 1e-9)))).otherwise(0.0)
+        ratio = 2 * (part(k1, share) + part(k0, 1 - share))
+        return (ratio >= RATIO) & (k0 <= CLEAN * k1) & (k1 > both * share)
 
-    ratio = 2 * (part(F.col("k1"), share) + part(F.col("k0"), 1 - share))
-    marked = counts.where((ratio >= RATIO) & (F.col("k0") <= CLEAN * F.col("k1")) & (F.col("k1") > both * share))
-    return marked.select("feature").toArrow()["feature"].to_numpy().view(np.uint64)
+    by_group = marks("k1", "k0", float(vote[hot].sum()), float(vote[~hot].sum()))
+    by_text = marks("t1", "t0", float(hot.sum()), float((~hot).sum()))
+    got = counts.select("feature", by_group.alias("group")).where(by_group | by_text).toArrow()
+    every = got["feature"].to_numpy().view(np.uint64)
+    some = every[got["group"].to_numpy()]
+    shared = context.broadcast(Tagger(some))
+    n = rows.where("toxic = 1").mapInArrow(_covered(shared), "n long").agg(F.sum("n")).first()[0] or 0
+    return some if 2 * n >= hot.sum() else every
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Tagger:
     """A tagger from rows of ``text`` and ``toxic``."""
     rows = written(_sampled(labelled.where("text is not null and toxic is not null"), sample), "labelled")
-    first = Tagger(_markers(rows))
-    shared = labelled.sparkSession.sparkContext.broadcast(first)
-    rows = written(rows.mapInArrow(_varied(shared), rows.schema), "varied")
     markers = _markers(rows)
     tagger = Tagger(markers)
     some = rows.orderBy(F.xxhash64("text"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import corpus_pipeline
+import numpy as np
 from objsync.llm import host_reputation, language_codes, pii_surrogates, toxic_spans
 from objsync.llm.queries import URL_RULES
 from objsync.llm.shared import table
@@ -35,6 +36,24 @@ def test_toxic_held_out(spark):
     assert [r.predicted for r in toxic_spans.score_documents(odd, tagger).collect()] == [0, 0]
 
 
+def _prose(rng, n):
+    return [f"w{i}x" for i in rng.integers(0, 4000, n)]
+
+
+def test_dense_toxic_copies_are_learned(spark):
+    rng = np.random.default_rng(0)
+    vile = [f"vile{chr(97 + i % 26)}{i}" for i in range(40)]
+    copies = []
+    for i in range(60):  # edited copies of one dense text
+        words = list(vile)
+        words[i % 40] = f"w{i}x"
+        copies.append((" ".join(words), 1))
+    clean = [(" ".join(_prose(rng, 60)), 0) for _ in range(300)]
+    tagger = toxic_spans.fit(spark.createDataFrame(copies + clean, "text string, toxic int"))
+    held = spark.createDataFrame([(1, " ".join(vile)), (2, clean[0][0])], "doc_id long, text string")
+    assert {r.doc_id: r.predicted for r in toxic_spans.score_documents(held, tagger).collect()} == {1: 1, 2: 0}
+
+
 def test_surrogates(spark):
     rows = [
         (1, "Frau Müller wrote A.b@Ex.org and a.b@ex.org, +1 (988) 555-2485"),
