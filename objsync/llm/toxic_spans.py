@@ -7,10 +7,13 @@ copies share one vote; if that leaves most toxic texts without a marker, as when
 one group of copies, features that texts vote for singly are added. On
 these tokens a CRF with two tags is fitted: weights of marker features, a bias, and
 transitions. Forward-backward marginals tag tokens; a document's score is a logistic of
-the expected number of its toxic tokens, and their places are the offending offsets.
+the expected number of its toxic tokens beyond what a clean text of its length gathers,
+and their places are the offending offsets.
 
-Fitting uses ``SAMPLE`` distinct labelled texts at most, and ``FITTED`` of these for the
-gradients; every text is scored whole.
+Fitting uses ``SAMPLE`` distinct labelled texts at most, and ``FITTED`` of these of each
+label for the gradients, all of them whole. For the gradients of the field a text is
+passed in stretches of ``STRETCH`` words, so only transitions between two stretches do not
+count; the score is fitted, and every text scored, without stretches.
 
 Defined results: a null or empty text has no tokens and the score of none; without
 toxic labels nothing is toxic; labels that are null do not count; a document labelled
@@ -30,8 +33,10 @@ from .words import ALNUM_FOLDED, Texts, blocks, encoded, mix, signed
 
 #: Labelled texts that features are counted on, at most (about), a third of them toxic.
 SAMPLE = 6000
-#: Texts of each label that the gradients are computed on, and words of each.
-FITTED, FITTED_WORDS = 150, 3000
+#: Texts of each label that the gradients are computed on, at most.
+FITTED = 150
+#: Words that are passed in one go for the gradients.
+STRETCH = 3000
 PREFIXES = range(3, 8)
 #: Log-likelihood ratio from which a feature is a marker, and clean texts per toxic one.
 RATIO, CLEAN = 24.0, 0.02
@@ -156,6 +161,7 @@ class Tagger:
         self.bias = -3.0
         self.moves = np.zeros((2, 2))
         self.slope, self.base = 2.0, -1.0
+        self.stray = 0.0  # expected toxic tokens for each word of clean texts
 
     def found(self, texts: Texts):
         """Words with markers, and which: (marker, word) pairs."""
@@ -209,14 +215,15 @@ class Tagger:
         tags = np.zeros(n)
         tags[pairs[1][toxic[owner[pairs[1]]] == 1]] = 1
         inner = np.ones(n, dtype=bool)
-        inner[texts.first[:-1][texts.counts > 0]] = False  # words that follow one
+        first = np.concatenate([np.arange(a, b, STRETCH) for a, b in zip(texts.first[:-1], texts.first[1:], strict=True)] + [[n]])
+        inner[first[:-1].astype(np.int64)] = False  # words that follow one
         inner = np.flatnonzero(inner)
         uses = np.maximum(1, np.bincount(pairs[0], minlength=len(self.weights)))
         seen = np.zeros((2, 2))
         np.add.at(seen, (tags[inner - 1].astype(int), tags[inner].astype(int)), 1)
         for _ in range(rounds):
             emission = self.emissions(n, pairs)
-            p, forward, backward = self._passes(emission, texts.first)
+            p, forward, backward = self._passes(emission, first)
             off = tags - p
             self.weights += 2.0 * np.bincount(pairs[0], weights=off[pairs[1]], minlength=len(uses)) / uses
             self.weights *= 0.999
@@ -231,17 +238,22 @@ class Tagger:
             self.moves += 0.5 * (seen - expected) / (seen + expected + 10)
             self.moves -= self.moves[0, 0]
 
-    def fit_score(self, counts: np.ndarray, toxic: np.ndarray, rounds: int = 500) -> None:
-        """A logistic of the logarithm of expected toxic tokens, both labels weighing alike."""
-        z = np.log(counts + 0.05)
+    def _feature(self, counts: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The logarithm of expected toxic tokens less those that a clean text so long may have."""
+        stray = self.stray * words
+        return np.log(np.maximum(counts - stray - 2 * np.sqrt(stray), 0) + 0.05)
+
+    def fit_score(self, counts: np.ndarray, words: np.ndarray, toxic: np.ndarray, rounds: int = 500) -> None:
+        """A logistic of the feature of expected toxic tokens, both labels weighing alike."""
+        z = self._feature(counts, words)
         weight = np.where(toxic == 1, 0.5 / max(1, toxic.sum()), 0.5 / max(1, (1 - toxic).sum()))
         for _ in range(rounds):
             off = weight * (toxic - 1 / (1 + np.exp(-(self.slope * z + self.base))))
             self.slope = max(0.5, self.slope + 0.5 * (off * z).sum() - 1e-4 * self.slope)
             self.base += 0.5 * off.sum() - 1e-4 * self.base
 
-    def score(self, counts: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.slope * np.log(counts + 0.05) + self.base)))
+    def score(self, counts: np.ndarray, words: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-(self.slope * self._feature(counts, words) + self.base)))
 
     def tag(self, texts: Texts):
         """Toxic words and, for each text, their expected number."""
@@ -310,20 +322,37 @@ def _markers(rows: DataFrame) -> np.ndarray:
     return some if 2 * n >= hot.sum() else every
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> Tagger:
+def _strays(tagger):
+    """Expected toxic tokens and words of clean texts."""
+
+    def run(batches):
+        for batch in batches:
+            data = [t or b"" for t in encoded(batch.column("text"))]
+            for a, b in blocks(data):
+                texts = Texts(data[a:b], ALNUM_FOLDED)
+                expected = float(tagger.value.tag(texts)[1].sum())
+                yield pa.RecordBatch.from_pydict({"expected": [expected], "words": [float(texts.counts.sum())]})
+
+    return run
+
+
+def fit(labelled: DataFrame, sample: int = SAMPLE, fitted: int = FITTED) -> Tagger:
     """A tagger from rows of ``text`` and ``toxic``."""
     rows = written(_sampled(labelled.where("text is not null and toxic is not null"), sample), "labelled")
     markers = _markers(rows)
     tagger = Tagger(markers)
-    some = rows.orderBy(F.xxhash64("text"))
-    few = some.where("toxic = 1").limit(FITTED).unionByName(some.where("toxic = 0").limit(FITTED)).toArrow()
+    some = rows.orderBy("id")
+    few = some.where("toxic = 1").limit(fitted).unionByName(some.where("toxic = 0").limit(fitted)).toArrow()
     if len(markers) and len(few):
-        texts = [b" ".join(t.split()[:FITTED_WORDS]) for t in encoded(few["text"])]
         toxic = few["toxic"].to_numpy().astype(float)
-        fitted = Texts(texts, ALNUM_FOLDED)
-        tagger.fit_field(fitted, toxic)
+        texts = Texts(encoded(few["text"]), ALNUM_FOLDED)
+        tagger.fit_field(texts, toxic)
         tagger.bias = min(tagger.bias, -0.1)
-        tagger.fit_score(tagger.tag(fitted)[1], toxic)
+        shared = labelled.sparkSession.sparkContext.broadcast(tagger)
+        clean = rows.where("toxic = 0").mapInArrow(_strays(shared), "expected double, words double")
+        expected, words = clean.agg(F.sum("expected"), F.sum("words")).first()
+        tagger.stray = (expected or 0.0) / max(1.0, words or 0.0)
+        tagger.fit_score(tagger.tag(texts)[1], texts.counts, toxic)
     return tagger
 
 
@@ -345,7 +374,7 @@ def _scored(tagger):
                     both = np.stack((point[texts.starts[own] - begin], point[texts.ends[own] - begin]), axis=1)
                     places[d] = both.ravel().tolist()
                 out = {c: batch.column(c).slice(a, b - a) for c in batch.schema.names if c != "text"}
-                out["score"] = pa.array(tagger.value.score(expected))
+                out["score"] = pa.array(tagger.value.score(expected, texts.counts))
                 out["offsets"] = pa.array(places, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_pydict(out)
 
@@ -377,8 +406,9 @@ def _clean(tagger):
             data = [t or b"" for t in encoded(batch.column("text"))]
             keep = np.zeros(len(data), dtype=bool)
             for a, b in blocks(data):
-                expected = tagger.value.tag(Texts(data[a:b], ALNUM_FOLDED))[1]
-                keep[a:b] = tagger.value.score(expected) < THRESHOLD
+                texts = Texts(data[a:b], ALNUM_FOLDED)
+                expected = tagger.value.tag(texts)[1]
+                keep[a:b] = tagger.value.score(expected, texts.counts) < THRESHOLD
             yield batch.filter(pa.array(keep))
 
     return run

@@ -54,6 +54,21 @@ def test_dense_toxic_copies_are_learned(spark):
     assert {r.doc_id: r.predicted for r in toxic_spans.score_documents(held, tagger).collect()} == {1: 1, 2: 0}
 
 
+def test_toxic_words_late_and_strays_in_long_texts(spark):
+    rng = np.random.default_rng(1)
+    vile = [f"vile{i}" for i in range(12)]
+    late = [(" ".join([*_prose(rng, 3200), *rng.permutation(vile)[:10]]), 1) for _ in range(60)]
+    clean = [(" ".join(_prose(rng, 600)), 0) for _ in range(700)]
+    clean[:6] = [(t + f" {vile[i]}", 0) for i, (t, _) in enumerate(clean[:6])]  # a stray one each, 1 in 70,000 words
+    tagger = toxic_spans.fit(spark.createDataFrame(late + clean, "text string, toxic int"))
+    strays = _prose(rng, 1_200_000)
+    for i in range(17):
+        strays[70_000 * i] = vile[i % 12]
+    rows = [(1, late[0][0]), (2, clean[10][0]), (3, " ".join(strays)), (4, " ".join(_prose(rng, 100) + vile[:10]))]
+    got = toxic_spans.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), tagger).collect()
+    assert {r.doc_id: r.predicted for r in got} == {1: 1, 2: 0, 3: 0, 4: 1}
+
+
 def test_surrogates(spark):
     rows = [
         (1, "Frau Müller wrote A.b@Ex.org and a.b@ex.org, +1 (988) 555-2485"),
