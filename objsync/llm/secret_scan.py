@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import text_or_empty, written
-from .spans import apart, matches, replaced
+from .spans import matches, replaced
 
 #: Code points between complementary parts, at most.
 SCOPE = 200
@@ -87,9 +87,13 @@ def _role(kind: Column) -> Column:
 
 
 def _linked(scanned: DataFrame) -> DataFrame:
-    """``(doc_id, print, linked)``: weak spans with a complementary part in their scope."""
-    some = scanned.where(F.size("weak") > 0)
-    key = ["doc_id", "print"]
+    """``(key, print, linked)``: weak spans with a complementary part in their scope.
+
+    The text alone, and so ``print``, tells the spans; ``key``, a hash of the id that is
+    never null, spreads copies of a text.
+    """
+    key = ["key", "print"]
+    some = scanned.where(F.size("weak") > 0).dropDuplicates(key)
     weak = some.select(*key, F.explode("weak").alias("s"))
     parts = some.select(*key, F.explode(F.concat("weak", "base")).alias("p"))
     weak = weak.withColumn("role", _role(F.col("s.kind")))
@@ -111,7 +115,7 @@ def _scan(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
     text = text_or_empty(text_column)
     base, weak = base_spans(text), weak_spans(text)
     found = documents.select(
-        F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("print"), base.alias("base"), weak.alias("weak")
+        F.col(id_column).alias("doc_id"), F.xxhash64(id_column).alias("key"), F.xxhash64(text).alias("print"), base.alias("base"), weak.alias("weak")
     )
     # what a base span has is reported already
     clear = F.filter(
@@ -127,7 +131,7 @@ def find_secrets(
     scanned = written(_scan(documents, id_column, text_column), "scanned")
     linked = _linked(scanned)
     joined = scanned.alias("l").join(
-        linked.alias("r"), (F.col("l.doc_id").eqNullSafe(F.col("r.doc_id"))) & (F.col("l.print") == F.col("r.print")), "left"
+        linked.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.print") == F.col("r.print")), "left"
     )
     every = F.array_sort(F.concat("l.base", F.coalesce("r.linked", F.array().cast(f"array<{_SPAN}>"))))
     return joined.select("l.doc_id", "l.print", "l.base", every.alias("spans"))
@@ -152,8 +156,17 @@ def secrets_digest(found: DataFrame) -> DataFrame:
 
 
 def _masked(text: Column, spans: Column) -> Column:
+    plain = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
+
+    def add(held: Column, x: Column) -> Column:
+        last = F.element_at(held, -1)
+        union = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
+        return F.when(
+            (F.size(held) > 0) & (last["end"] > x["start"]), F.concat(F.slice(held, F.lit(1), F.size(held) - 1), F.array(union))
+        ).otherwise(F.concat(held, F.array(x)))
+
     edits = F.transform(
-        apart(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("less"), x["end"].alias("end"), x["kind"].alias("kind")))),
+        F.aggregate(plain, F.slice(plain, 1, 0), add),
         lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit("[secret]").alias("value")),
     )
     return F.when(F.size(spans) > 0, replaced(text, edits)).otherwise(text)
@@ -170,14 +183,14 @@ def mask_secrets(
     columns = documents.columns
     text = text_or_empty(text_column)
     scanned = written(_scan(documents, id_column, text_column).where(F.size("weak") > 0), "scanned")
-    linked = scanned.select("doc_id", "print", "base").join(_linked(scanned), ["doc_id", "print"])
+    linked = scanned.select("key", "print", "base").join(_linked(scanned), ["key", "print"])
     linked = linked.select(
-        F.col("doc_id").alias("__id"), F.col("print").alias("__print"), F.concat("base", "linked").alias("__spans")
-    ).dropDuplicates(["__id", "__print"])
+        F.col("key").alias("__key"), F.col("print").alias("__print"), F.concat("base", "linked").alias("__spans")
+    ).dropDuplicates(["__key", "__print"])
     weak = F.size(weak_spans(text)) > 0
     plain = documents.where(~weak).withColumn(text_column, _masked(F.col(text_column), base_spans(text)))
     rest = documents.where(weak).join(
-        linked, (F.col(id_column) == F.col("__id")) & (F.xxhash64(text) == F.col("__print")), "left"
+        linked, (F.xxhash64(id_column) == F.col("__key")) & (F.xxhash64(text) == F.col("__print")), "left"
     )
     rest = rest.withColumn("__spans", F.coalesce("__spans", base_spans(text)))
     rest = rest.withColumn(text_column, _masked(F.col(text_column), F.col("__spans")))

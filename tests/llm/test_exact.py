@@ -186,6 +186,16 @@ def test_weak_parts_only_together(spark):
     }
 
 
+def test_overlapping_and_null_id_secrets_are_masked(spark):
+    overlap = 'token=abcdefgh12 https://h/?pwd="hunter22" username: bob'
+    rows = [(1, overlap), (None, "client_id: foo99 pwd=hunter22"), (None, "client_id: foo99 pwd=hunter22")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = sorted(r.text for r in secret_scan.mask_secrets(docs).collect())
+    assert len(texts) == 3 and texts[:2] == ["[secret] [secret]"] * 2 and "hunter22" not in texts[2]
+    found = secret_scan.find_secrets(docs).where("doc_id is null").collect()
+    assert [[s.kind for s in r.spans] for r in found] == [["weak_identifier", "weak_secret"]] * 2
+
+
 def test_host_rules(documents, empty):
     expected = []
     for i, t in ROWS:
