@@ -49,8 +49,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the documents and their places in packed sequences."""
-    return packing.pack_documents(docs, tokenizer_path())
+    """Token pieces of the documents, ids included, and their places in packed sequences."""
+    return packing.pack_documents(docs, tokenizer_path(), with_ids=True)
 
 
 STAGES = [

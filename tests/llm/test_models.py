@@ -164,3 +164,12 @@ def test_pipeline(spark):
         assert docs.columns == columns
     texts = [r.text or "" for r in docs.select("text").collect()]
     assert 0 < len(texts) <= 1000 and not any(re.search(r"[0-9a-f]{32}", t) for t in texts)
+
+
+def test_pipeline_ends_in_token_ids(spark):
+    docs = spark.createDataFrame([(1, "two words"), (2, None)], "doc_id long, text string")
+    packed = corpus_pipeline.packing_stage(spark, docs, SF)
+    whole = set(packed.columns) - set(corpus_pipeline.packing.pack_documents(docs, corpus_pipeline.tokenizer_path()).columns)
+    assert len(whole) == 1
+    (ids,) = whole
+    assert [len(r[ids]) == r.length > 0 for r in packed.collect()] == [True, True]
