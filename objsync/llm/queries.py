@@ -12,11 +12,14 @@ from . import (
     host_rules,
     jaccard_join,
     language_codes,
+    multi_index,
     packing,
     pii_surrogates,
     secret_scan,
+    source_audit,
     substring_dedup,
     toxic_spans,
+    zone_clusters,
 )
 from .shared import table
 
@@ -262,3 +265,100 @@ def op5_host_reputation(spark, sf_dir):
 @query()
 def op6_language_codes(spark, sf_dir):
     return language_codes.identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_multi_index(spark, sf_dir):
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def _nearest_sql(n: int) -> str:
+    """Each vector's distance to its nearest centroid of round ``n``, and that centroid."""
+    return f"""
+    d{n} AS (
+        SELECT vec_id, c, sum((x.v - m.v) * (x.v - m.v)) AS distance
+        FROM parts x JOIN m{n} m USING (i) GROUP BY vec_id, c),
+    a{n} AS (
+        SELECT vec_id, c, distance FROM d{n}
+        QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, c) = 1)"""
+
+
+def _moved_sql(n: int) -> str:
+    """The centroids after round ``n``."""
+    return f"""
+    s{n} AS (
+        SELECT c, i, CAST(sum(v) AS BIGINT) AS s, count(*) AS k
+        FROM a{n} JOIN parts USING (vec_id) GROUP BY c, i),
+    m{n + 1} AS (
+        SELECT m.c, m.i, CASE WHEN k IS NULL THEN m.v ELSE (s - ((s % k) + k) % k) // k END AS v
+        FROM m{n} m LEFT JOIN s{n} USING (c, i))"""
+
+
+@query(
+    f"""
+    WITH kept AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+    parts AS (SELECT vec_id, unnest(range(64)) AS i, unnest(v) AS v FROM kept),
+    firsts AS (
+        SELECT vec_id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c FROM kept
+        ORDER BY c LIMIT 16),
+    m0 AS (SELECT c, i, v FROM firsts JOIN parts USING (vec_id)),
+    {_nearest_sql(0)}, {_moved_sql(0)}, {_nearest_sql(1)}, {_moved_sql(1)}, {_nearest_sql(2)}, {_moved_sql(2)},
+    {_nearest_sql(3)},
+    shas AS (SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS sha FROM m3 GROUP BY c)
+    SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+           CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+           CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha AS centroid_sha256
+    FROM a3 JOIN shas USING (c)"""
+)
+def op12_zone_clusters(spark, sf_dir):
+    return zone_clusters.clusters(table(spark, sf_dir, "embeddings"))
+
+
+_P = "1 + (1000000000 * (CAST({0} AS HUGEINT) + 5)) // ({1} + 5 * {2})"
+
+
+@query(
+    f"""
+    WITH d AS (
+        SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+        FROM documents),
+    numbered AS (SELECT row_number() OVER () AS k, * FROM d),
+    words AS (SELECT k, lang, source, unnest(w) AS term FROM numbered),
+    kept AS (
+        SELECT lang, term, count(*) AS lang_n FROM words GROUP BY lang, term
+        HAVING count(DISTINCT k) >= 30),
+    langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS total FROM kept GROUP BY lang),
+    groups AS (SELECT DISTINCT lang, source FROM d),
+    counts AS (
+        SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term)
+        GROUP BY lang, source, term),
+    totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source),
+    whole AS (
+        SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+               {_P.format("coalesce(n, 0)", "coalesce(t.total, 0)", "l.v")} AS p,
+               {_P.format("k.lang_n", "l.total", "l.v")} AS q
+        FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+        LEFT JOIN totals t USING (lang, source)
+        LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+    pairs AS (
+        SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN (
+            SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+            FROM whole x JOIN whole y USING (lang, term) GROUP BY ALL) s
+        ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+    rows AS (
+        SELECT lang, source, 'pair' AS part, item, value FROM pairs
+        UNION ALL SELECT lang, source, 'term', term, abs(p - q) FROM whole WHERE n > 0 AND p > q),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+        FROM rows)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+    FROM ranked WHERE part = 'pair' OR rank <= 50"""
+)
+def op13_source_audit(spark, sf_dir):
+    return source_audit.divergence(table(spark, sf_dir, "documents"))
