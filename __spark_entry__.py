@@ -200,6 +200,21 @@ def read_result_sets(spark, sf_dir):
     return ob.read_result_sets(spark, land_result_sets(spark, sf_dir))
 
 
+@query(
+    """
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+           coalesce(source, '') AS source, coalesce(CAST(n_chars AS VARCHAR), '') AS n_chars
+    FROM documents"""
+)
+def read_result_sets_split(spark, sf_dir):
+    """One large file whose values hold quotes and newlines, in small chunks."""
+    documents = table(spark, sf_dir, "documents")
+    documents = documents.select([F.col(c).cast("string").alias(c) for c in ("doc_id", "text", "lang", "source", "n_chars")])
+    path = new_run_dir(spark, "result-sets")
+    ob.write_result_set(documents.coalesce(1), path)
+    return ob.read_result_sets_split(spark, path, chunk_bytes=1 << 17)
+
+
 @query(_CUSTOMER_TEXT_SQL)
 def read_result_sets_known_header(spark, sf_dir):
     customers = customer_text(spark, sf_dir)
@@ -1113,6 +1128,73 @@ def update_table(spark, sf_dir):
     return spark.table(name)
 
 
+def versioned_orders(spark: SparkSession, sf_dir: str) -> str:
+    """The orders as an extract with versions, its files by ranges of the key."""
+    path = new_run_dir(spark, "orders")
+    orders = order_text(spark, sf_dir).withColumn("id", F.col("id").cast("bigint"))
+    ob.commit_extract(orders.repartitionByRange(16, "id"), path, "id")
+    return path
+
+
+def late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates of the last hundredth of the orders, some keys twice or unknown."""
+    orders = order_text(spark, sf_dir).withColumn("id", F.col("id").cast("bigint"))
+    last = orders.agg(F.max("id")).first()[0]
+    late = orders.where(F.col("id") > last - last // 100).select("id", F.concat(F.lit("late "), "name").alias("name"))
+    return late.unionByName(late.where("id % 7 = 0")).unionByName(late.select((F.col("id") + last).alias("id"), "name"))
+
+
+_LATE_SQL = """
+    SELECT o_orderkey AS id,
+           CASE WHEN o_orderkey > last - last // 100 AND o_orderkey % 7 <> 0
+                THEN 'late ' || o_orderpriority ELSE o_orderpriority END AS name,
+           CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS VARCHAR) AS amount,
+           CAST(o_orderdate AS VARCHAR) AS close_date
+    FROM orders, (SELECT max(o_orderkey) AS last FROM orders)"""
+
+
+@query(f"SELECT *, true AS few_written FROM ({_LATE_SQL})")
+def update_files(spark, sf_dir):
+    """An update that writes only the files that hold its keys, a small part of them."""
+    path = versioned_orders(spark, sf_dir)
+    ob.update_files(spark, path, late_orders(spark, sf_dir))
+    few = F.expr("n_written > 0 and n_files >= 16 and n_rows > 0").alias("few")
+    written = ob.extract_versions(spark, path).orderBy(F.desc("version")).select(few, "n_written").first()
+    rows = ob.read_extract(spark, path)
+    return rows.withColumn("few_written", F.lit(written["few"] and written["n_written"] <= 8))
+
+
+@query(
+    """
+    WITH n AS (SELECT count(*) AS n FROM orders)
+    SELECT 1 AS version, 0 AS base, 'replace' AS operation, n AS n_rows, n AS n_read FROM n
+    UNION ALL SELECT 2, 1, 'update', n, n FROM n
+    UNION ALL SELECT 3, 2, 'replace', (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0),
+                     (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0)"""
+)
+def extract_versions(spark, sf_dir):
+    """The log of three writes, with the rows that each version still reads."""
+    path = versioned_orders(spark, sf_dir)
+    ob.update_files(spark, path, late_orders(spark, sf_dir))
+    ob.commit_extract(ob.read_extract(spark, path).where("id % 2 = 0"), path, "id")
+    read = None
+    for version in (1, 2, 3):
+        rows = ob.read_extract(spark, path, version).agg(F.count("*").alias("n_read"))
+        rows = rows.withColumn("version", F.lit(version).cast("bigint"))
+        read = rows if read is None else read.unionByName(rows)
+    return ob.extract_versions(spark, path).select("version", "base", "operation", "n_rows").join(read, "version")
+
+
+@query(f"SELECT *, 2 AS version FROM ({_LATE_SQL})")
+def extract_vacuum(spark, sf_dir):
+    """The latest version after all others and the files that only they name are removed."""
+    path = versioned_orders(spark, sf_dir)
+    ob.update_files(spark, path, late_orders(spark, sf_dir))
+    ob.extract_vacuum(spark, path)
+    rows = ob.read_extract(spark, path)
+    return rows.join(ob.extract_versions(spark, path).select(F.col("version").cast("int").alias("version")))
+
+
 _RESULTS_SQL = f"""
     SELECT "Id", error = '' AS "Success", false AS "Created", error AS "Error" FROM (
         SELECT u.c_custkey AS "Id",

@@ -61,7 +61,16 @@ from objsync.plans.tables import (
 )
 from objsync.sources.objects import query_objects
 from objsync.sources.pages import page_records, page_status, read_pages
+from objsync.plans.versions import (
+    WriteConflict,
+    commit_extract,
+    extract_vacuum,
+    extract_versions,
+    read_extract,
+    update_files,
+)
 from objsync.sources.result_sets import read_result_sets
+from objsync.sources.split_sets import read_result_sets_split
 
 __all__ = [
     "align",
@@ -102,6 +111,13 @@ __all__ = [
     "query_objects",
     "read_pages",
     "read_result_sets",
+    "read_result_sets_split",
+    "WriteConflict",
+    "commit_extract",
+    "extract_vacuum",
+    "extract_versions",
+    "read_extract",
+    "update_files",
     "read_staged",
     "register_extract",
     "replace_extract",
