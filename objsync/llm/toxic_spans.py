@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import crc_fold, written
-from .words import ALNUM_FOLDED, Texts, blocks, encoded, mix, signed
+from .words import ALNUM_FOLDED, Texts, blocks, encoded, mix, signed, text_blocks
 
 #: Labelled texts that features are counted on, at most (about), a third of them toxic.
 SAMPLE = 6000
@@ -140,14 +140,18 @@ def _emit_features(votes):
     return run
 
 
-def _sampled(labelled: DataFrame, sample: int) -> DataFrame:
-    """Distinct texts, drawn by a hash of the text: a third toxic as far as there are."""
-    sizes = {int(r["toxic"]): r["count"] for r in labelled.groupBy("toxic").count().collect()}
+def _few(texts: DataFrame, sample: int) -> DataFrame:
+    """Rows of distinct texts ``(id, toxic)`` drawn by the id, a hash: a third toxic as far as there are."""
+    sizes = {int(r["toxic"]): r["count"] for r in texts.groupBy("toxic").count().collect()}
     share = F.when(F.col("toxic") == 1, sample / 3 / max(1, sizes.get(1, 0))).otherwise(
         sample * 2 / 3 / max(1, sizes.get(0, 0))
     )
-    drawn = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000)
-    return drawn.groupBy("text").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("id", F.xxhash64("text"))
+    return texts.where(F.pmod("id", F.lit(1_000_000)) < share * 1_000_000)
+
+
+def _sampled(labelled: DataFrame, sample: int) -> DataFrame:
+    texts = labelled.groupBy("text").agg(F.max("toxic").cast("int").alias("toxic"))
+    return _few(texts.withColumn("id", F.xxhash64("text")), sample)
 
 
 class Tagger:
@@ -327,9 +331,8 @@ def _strays(tagger):
 
     def run(batches):
         for batch in batches:
-            data = [t or b"" for t in encoded(batch.column("text"))]
-            for a, b in blocks(data):
-                texts = Texts(data[a:b], ALNUM_FOLDED)
+            for a, b, part in text_blocks(batch.column("text")):
+                texts = Texts(part, ALNUM_FOLDED)
                 expected = float(tagger.value.tag(texts)[1].sum())
                 yield pa.RecordBatch.from_pydict({"expected": [expected], "words": [float(texts.counts.sum())]})
 
@@ -337,8 +340,10 @@ def _strays(tagger):
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, fitted: int = FITTED) -> Tagger:
-    """A tagger from rows of ``text`` and ``toxic``."""
-    rows = written(_sampled(labelled.where("text is not null and toxic is not null"), sample), "labelled")
+    """A tagger from rows of ``text`` and ``toxic``; those with ``id`` are drawn already."""
+    if "id" not in labelled.columns:
+        labelled = _sampled(labelled.where("text is not null and toxic is not null"), sample)
+    rows = written(labelled.select("id", "text", "toxic"), "labelled")
     markers = _markers(rows)
     tagger = Tagger(markers)
     some = rows.orderBy("id")
@@ -359,9 +364,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, fitted: int = FITTED) -> Tagg
 def _scored(tagger):
     def run(batches):
         for batch in batches:
-            data = [t or b"" for t in encoded(batch.column("text"))]
-            for a, b in blocks(data):
-                texts = Texts(data[a:b], ALNUM_FOLDED)
+            for a, b, part in text_blocks(batch.column("text")):
+                texts = Texts(part, ALNUM_FOLDED)
                 words, expected = tagger.value.tag(texts)
                 owner = np.searchsorted(texts.first, words, side="right") - 1
                 # code points: bytes that do not continue a character
@@ -381,10 +385,18 @@ def _scored(tagger):
     return run
 
 
-def labelled_texts(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts with labels, without the held-out third."""
+def labelled_texts(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """Distinct texts with labels, about ``sample`` of them, without the held-out third.
+
+    They are drawn by ids and hashes alone, and one document of each is then read for its
+    text; the drawn ids are bounded by the sample.
+    """
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return documents.select("doc_id", "text").where(crc_fold() != 1).join(marks, "doc_id").select("text", "toxic")
+    learned = documents.where((crc_fold() != 1) & F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("id"), "text")
+    texts = learned.select("doc_id", "id").join(marks, "doc_id").groupBy("id")
+    texts = written(texts.agg(F.max("toxic").cast("int").alias("toxic"), F.min("doc_id").alias("doc_id")), "marked")
+    drawn = F.broadcast(_few(texts, sample))
+    return learned.join(drawn, ["doc_id", "id"]).dropDuplicates(["id"]).select("id", "text", "toxic")
 
 
 def score_documents(documents: DataFrame, tagger: Tagger) -> DataFrame:
@@ -403,10 +415,9 @@ def score_documents(documents: DataFrame, tagger: Tagger) -> DataFrame:
 def _clean(tagger):
     def run(batches):
         for batch in batches:
-            data = [t or b"" for t in encoded(batch.column("text"))]
-            keep = np.zeros(len(data), dtype=bool)
-            for a, b in blocks(data):
-                texts = Texts(data[a:b], ALNUM_FOLDED)
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            for a, b, part in text_blocks(batch.column("text")):
+                texts = Texts(part, ALNUM_FOLDED)
                 expected = tagger.value.tag(texts)[1]
                 keep[a:b] = tagger.value.score(expected, texts.counts) < THRESHOLD
             yield batch.filter(pa.array(keep))

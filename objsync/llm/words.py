@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Text bytes worked on at once; a longer text is cut between words.
 BLOCK_BYTES = 1 << 20
@@ -163,5 +164,17 @@ def blocks(
         yield at, len(texts)
 
 
+def text_blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges as of ``blocks`` with their texts, null ones empty; only one range is held."""
+    data = column.cast(pa.binary())
+    ends = np.cumsum(pc.binary_length(data).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    at = 0
+    while at < len(data):
+        before = ends[at - 1] if at else 0
+        to = min(len(data), int(np.searchsorted(ends, before + size)) + 1)
+        yield at, to, [t or b"" for t in data.slice(at, to - at).to_pylist()]
+        at = to
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
