@@ -20,7 +20,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import crc_fold, written
@@ -29,6 +29,8 @@ from .words import BLOCK_BYTES, blocks, encoded
 DIMENSIONS = 4096
 #: Labelled documents that the classifiers are fitted on, at most (about).
 SAMPLE = 2000
+#: Stands for a null id where a text needs a document that has it.
+NO_ID = -(1 << 63)
 #: Texts whose best two codewords differ by less in loss are ambiguous.
 MARGIN = 0.5
 UNKNOWN = "und"
@@ -116,13 +118,20 @@ def _emit_histograms(batches):
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Codes | None:
-    """Codes from ``(doc_id, text, lang)`` rows, about ``sample`` of them."""
-    labelled = labelled.where("lang is not null and text is not null")
-    counts = written(labelled.groupBy("lang").count(), "languages")
-    quota = counts.withColumn("share", F.lit(float(sample)) / F.lit(max(1, counts.count())) / F.col("count")).drop("count")
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.col("share") * 1_000_000
-    picked = labelled.join(quota, "lang").where(drawn).select("text", "lang")
-    rows = picked.mapInArrow(_emit_histograms, "lang string, histogram binary").limit(4 * sample).toArrow()
+    """Codes from ``(doc_id, text, lang)`` rows, ``sample`` distinct texts of them at most.
+
+    Each language gives the texts of its smallest hashes, an equal number of each and one
+    at least; they are drawn by hashes and ids, and only theirs are read.
+    """
+    labelled = labelled.where("lang is not null and text is not null").withColumn("print", F.xxhash64("text"))
+    texts = labelled.groupBy("lang", "print").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("doc_id"))
+    texts = written(texts, "languages")
+    quota = max(1, sample // max(1, texts.select("lang").distinct().count()))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("print"))
+    drawn = F.broadcast(texts.withColumn("rank", rank).where(F.col("rank") <= quota).drop("rank"))
+    picked = labelled.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).join(drawn, ["lang", "print", "doc_id"])
+    picked = picked.dropDuplicates(["lang", "print"]).orderBy("lang", "print").select("text", "lang")
+    rows = picked.mapInArrow(_emit_histograms, "lang string, histogram binary").toArrow()
     if not len(rows):
         return None
     x = np.frombuffer(b"".join(rows["histogram"].to_pylist()), dtype=np.float32)
