@@ -6,7 +6,9 @@ from a keyed hash of kind, normal form and attempt, character by character, so t
 digits stay digits and letters stay letters of their script; card numbers keep their
 checksum, addresses their top-level domain, and names after a title are drawn by the
 title's gender. A surrogate that two entities share, or that is itself an original, is
-drawn again for all but one of them until none is left. Only entities are shuffled, and
+drawn again for all but one of them until none is left; every few attempts the form grows
+by a character (a letter of the local part, a digit at the end, a syllable, a port), so
+that a form whose surrogates are all taken, or that has nothing to draw, comes to an end. Only entities are shuffled, and
 the texts that have some; an entity in very many texts is joined by a join that can be
 split. All mentions of the words of a name that has a title in its document are replaced
 with it; a word that both genders have there is drawn for the male one where it stands
@@ -89,6 +91,12 @@ _CYRILLIC = ["ба", "да", "ве", "га", "ка", "ле", "ми", "но", "п
 _ENDINGS = {"name_he": ("n", "н"), "name_she": ("a", "я")}
 
 
+_ENTITY = "struct<start:bigint,number:int,end:bigint,kind:string,value:string,head:boolean>"
+_EDIT = "struct<start:bigint,number:int,end:bigint,value:string,kind:string,head:boolean>"
+#: Attempts at one width of a form.
+TRIES = 3
+
+
 def _entities(text: Column) -> Column:
     """Spans with kind and the part that is replaced, apart from each other.
 
@@ -121,7 +129,7 @@ def _entities(text: Column) -> Column:
 
     summed = F.filter(matches(text, CARD_LUHN), lambda x: _luhn(_digits(x["value"])) == 0)
     found = [plain(matches(text, KINDS[kind][0]), kind, kind) for kind in ("email", "phone", "card", "ip")]
-    return apart(F.concat(*found, plain(summed, "card_luhn", "card"), words("name_he"), words("name_she")))
+    return apart(F.concat(*found, plain(summed, "card_luhn", "card"), words("name_he"), words("name_she")), _ENTITY)
 
 
 def _some(text: Column) -> Column:
@@ -166,15 +174,29 @@ def _drawn(key: str, kind: Column, normal: Column, attempt: Column) -> Column:
             .otherwise(c)
         )
 
+    def more(letters: str, size: Column) -> Column:
+        # from the far end of the stream, whose start spells the form
+        some = F.transform(
+            F.sequence(F.lit(1), F.greatest(size, F.lit(1))),
+            lambda i: F.substring(F.lit(letters), (_byte(stream, 61 - i) % len(letters) + 1).cast("int"), F.lit(1)),
+        )
+        return F.when(size > 0, F.array_join(some, "")).otherwise(F.lit(""))
+
+    wider = F.floor(attempt / TRIES).cast("int")
     spelled = F.array_join(F.transform(chars, alike), "")
     top = F.substring_index(normal, ".", -1)
-    email = F.concat(F.substring(spelled, F.lit(1), F.length(normal) - F.length(top)), top)
+    head = F.substring(spelled, F.lit(1), F.length(normal) - F.length(top))
+    local = F.substring_index(head, "@", 1)
+    drawn_local = more("abcdefghijklmnopqrstuvwxyz", wider + F.when(head.rlike("[a-z0-9]"), 0).otherwise(4))
+    email = F.concat(local, drawn_local, F.substring(head, F.length(local) + 1, F.length(head)), top)
+    digits = more("0123456789", wider)
     # the country code or leading zeros of a phone number and the issuer digit of a card stay
     code = F.regexp_extract(normal, rf"^(?:{_COUNTRY}|0{{0,2}})", 0)
-    phone = F.concat(code, F.substring(spelled, F.length(code) + 1, F.length(normal)))
-    card = F.concat(F.substring(normal, 1, 1), F.substring(spelled, F.lit(2), F.length(normal) - 2))
+    phone = F.concat(code, F.substring(spelled, F.length(code) + 1, F.length(normal)), digits)
+    card = F.concat(F.substring(normal, 1, 1), F.substring(spelled, F.lit(2), F.length(normal) - 2), digits)
     card = F.concat(card, ((_luhn(F.concat(card, F.lit("0"))) * 9 + _luhn(normal)) % 10).cast("string"))
     ip = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (_byte(stream, i * 3) % 254 + 1).cast("string")), ".")
+    ip = F.when(wider > 0, F.concat_ws(":", ip, F.concat(F.lit("1"), digits))).otherwise(ip)
 
     def name(gender: str) -> Column:
         size = F.greatest(F.lit(2), F.floor(F.length(normal) / 2)) + attempt
@@ -205,11 +227,14 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(places, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10
 
 
-def _written_like(value: Column, kind: Column, surrogate: Column) -> Column:
-    """The surrogate in the format of ``value``: separators and capitals."""
+def _written_like(value: Column, kind: Column, surrogate: Column, normal: Column) -> Column:
+    """The surrogate in the format of ``value``: separators and capitals; what is longer follows."""
     chars = F.split(value, "")
+    more = F.greatest(F.length(surrogate) - F.length(normal), F.lit(0))
     # a phone number may be written without its country code, or with zeros before it
-    own, drawn = _digits(value), _digits(surrogate)
+    own, every = _digits(value), _digits(surrogate)
+    drawn = F.substring(every, F.lit(1), F.length(every) - more)
+    rest = F.substring(every, F.length(every) - more + 1, more)
     less = F.length(own) - F.length(drawn)
     shown = F.when(less > 0, F.concat(F.substring(own, F.lit(1), less), drawn)).otherwise(
         F.substring(drawn, 1 - less, F.length(own))
@@ -230,7 +255,7 @@ def _written_like(value: Column, kind: Column, surrogate: Column) -> Column:
         F.zip_with(chars, F.split(surrogate, ""), lambda c, s: F.when(c.rlike("[A-Z]"), F.upper(s)).otherwise(s)), ""
     )
     return (
-        F.when(kind.isin("phone", "card"), digits)
+        F.when(kind.isin("phone", "card"), F.concat(digits, rest))
         .when(kind == "email", capitals)
         .when(kind == "ip", surrogate)
         .when((F.length(value) > 1) & (value == F.upper(value)), F.upper(surrogate))
@@ -305,11 +330,12 @@ def replace_entities(documents: DataFrame, key: str, *, text_column: str = "text
             "__print",
             F.struct(
                 "start", "number", "end",
-                _written_like(F.col("value"), F.col("kind"), F.col("surrogate")).alias("value"), "kind", "head",
+                _written_like(F.col("value"), F.col("kind"), F.col("surrogate"), F.col("normal")).alias("value"), "kind", "head",
             ).alias("edit"),
         )
         .groupBy("__print")
-        .agg(apart(F.collect_list("edit")).alias("__edits"))
+        .agg(F.collect_list("edit").alias("__edits"))
+        .withColumn("__edits", apart(F.col("__edits"), _EDIT))
     )
 
     def counts(edits_: Column | None) -> list[Column]:

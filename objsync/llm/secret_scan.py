@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import text_or_empty, written
-from .spans import matches, replaced
+from .spans import SPAN, clear_of, matches, replaced, united
 
 #: Code points between complementary parts, at most.
 SCOPE = 200
@@ -58,8 +58,18 @@ def _kind(spans: Column, kind: str) -> Column:
     )
 
 
+def _gated(gate: Column, found: Column) -> Column:
+    """``found`` where the cheap ``gate`` holds, which every match needs."""
+    return F.when(gate, found).otherwise(F.array().cast("array<" + SPAN + ">"))
+
+
+def _marked(text: Column) -> Column:
+    """Whether there is one of the signs that all patterns but two need."""
+    return text.contains("=") | text.contains(":")
+
+
 def _assigned(text: Column) -> Column:
-    return matches(text, ASSIGN, 2)
+    return _gated(_marked(text), matches(text, ASSIGN, 2))
 
 
 def base_spans(text: Column) -> Column:
@@ -67,7 +77,7 @@ def base_spans(text: Column) -> Column:
     assign = F.filter(_assigned(text), lambda x: F.length(x["part"]) >= 8)
     return F.array_sort(
         F.concat(
-            _kind(assign, "assign"), _kind(matches(text, ACCESS), "access"), _kind(matches(text, HEX), "hex")
+            _kind(assign, "assign"), _kind(_gated(text.contains("AKIA"), matches(text, ACCESS)), "access"), _kind(matches(text, HEX), "hex")
         )
     )
 
@@ -76,9 +86,9 @@ def weak_spans(text: Column) -> Column:
     short = F.filter(_assigned(text), lambda x: F.length(x["part"]).between(4, 7))
     return F.concat(
         _kind(short, "weak_secret"),
-        _kind(matches(text, LOOSE), "weak_secret"),
-        _kind(matches(text, IDENTIFIER), "weak_identifier"),
-        _kind(matches(text, ENDPOINT), "weak_endpoint"),
+        _kind(_gated(_marked(text), matches(text, LOOSE)), "weak_secret"),
+        _kind(_gated(_marked(text), matches(text, IDENTIFIER)), "weak_identifier"),
+        _kind(_gated(_marked(text), matches(text, ENDPOINT)), "weak_endpoint"),
     )
 
 
@@ -118,10 +128,8 @@ def _scan(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
         F.col(id_column).alias("doc_id"), F.xxhash64(id_column).alias("key"), F.xxhash64(text).alias("print"), base.alias("base"), weak.alias("weak")
     )
     # what a base span has is reported already
-    clear = F.filter(
-        "weak", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]))
-    )
-    return found.withColumn("weak", clear)
+    some = (F.size("weak") > 0) & (F.size("base") > 0)
+    return found.withColumn("weak", F.when(some, clear_of(F.col("weak"), F.col("base"), _SPAN)).otherwise(F.col("weak")))
 
 
 def find_secrets(
@@ -156,18 +164,8 @@ def secrets_digest(found: DataFrame) -> DataFrame:
 
 
 def _masked(text: Column, spans: Column) -> Column:
-    plain = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
-
-    def add(held: Column, x: Column) -> Column:
-        last = F.element_at(held, -1)
-        union = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
-        return F.when(
-            (F.size(held) > 0) & (last["end"] > x["start"]), F.concat(F.slice(held, F.lit(1), F.size(held) - 1), F.array(union))
-        ).otherwise(F.concat(held, F.array(x)))
-
     edits = F.transform(
-        F.aggregate(plain, F.slice(plain, 1, 0), add),
-        lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit("[secret]").alias("value")),
+        united(spans), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit("[secret]").alias("value"))
     )
     return F.when(F.size(spans) > 0, replaced(text, edits)).otherwise(text)
 
@@ -177,21 +175,22 @@ def mask_secrets(
 ) -> DataFrame:
     """``documents`` with every span of :func:`find_secrets` in the text masked.
 
-    Base spans are masked in place. Only documents with weak candidates are joined with
-    their linked spans.
+    Texts are masked in place where no weak part can be; the others are scanned once and
+    joined with their spans.
     """
     columns = documents.columns
     text = text_or_empty(text_column)
-    scanned = written(_scan(documents, id_column, text_column).where(F.size("weak") > 0), "scanned")
-    linked = scanned.select("key", "print", "base").join(_linked(scanned), ["key", "print"])
-    linked = linked.select(
-        F.col("key").alias("__key"), F.col("print").alias("__print"), F.concat("base", "linked").alias("__spans")
-    ).dropDuplicates(["__key", "__print"])
-    weak = F.size(weak_spans(text)) > 0
-    plain = documents.where(~weak).withColumn(text_column, _masked(F.col(text_column), base_spans(text)))
-    rest = documents.where(weak).join(
-        linked, (F.xxhash64(id_column) == F.col("__key")) & (F.xxhash64(text) == F.col("__print")), "left"
+    maybe = _marked(text) & (text.rlike(ASSIGN) | text.rlike(LOOSE) | text.rlike(IDENTIFIER) | text.rlike(ENDPOINT))
+    scanned = written(_scan(documents.where(maybe), id_column, text_column).dropDuplicates(["key", "print"]), "scanned")
+    linked = scanned.select("key", "print", "base").join(_linked(scanned), ["key", "print"], "left")
+    every = F.concat("base", F.coalesce("linked", F.array().cast(f"array<{_SPAN}>")))
+    linked = linked.select(F.col("key").alias("__key"), F.col("print").alias("__print"), every.alias("__spans"))
+    plain = documents.where(~maybe).withColumn(text_column, _masked(F.col(text_column), base_spans(text)))
+    rest = documents.where(maybe).join(
+        linked.where(F.size("__spans") > 0),
+        (F.xxhash64(id_column) == F.col("__key")) & (F.xxhash64(text) == F.col("__print")),
+        "left",
     )
-    rest = rest.withColumn("__spans", F.coalesce("__spans", base_spans(text)))
+    rest = rest.withColumn("__spans", F.coalesce("__spans", F.array().cast(f"array<{_SPAN}>")))
     rest = rest.withColumn(text_column, _masked(F.col(text_column), F.col("__spans")))
     return plain.select(*columns).unionByName(rest.select(*columns))
