@@ -13,9 +13,11 @@ reach the threshold if their prefixes in that order share a shingle.
    number of pairs in proportion to the rows. Those that share most of what they need are
    verified on whole sets and give a first partition.
 3. Pairs that the first step left open are those between different components of that
-   partition. All of them that share enough prefix shingles to reach the threshold are
-   expanded to classes and verified on whole sets. Pairs inside a component are already
-   connected and need no enumeration, however large it is.
+   partition. Classes of both meet where their first common shingle may be: its places in
+   the two orders leave room for what the threshold needs in common, which for the smaller
+   set is half of the prefix only. All such pairs that share enough prefix shingles are
+   verified on whole sets. Pairs inside
+   a component are already connected and need no enumeration, however large it is.
 4. Components over all verified links.
 
 Shingles are compared by 64-bit hashes.
@@ -35,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import bitmap, components, in_bitmap, written
-from .words import WHITE_FOLDED, Texts, blocks, encoded, mix, range_hashes, signed
+from .words import WHITE_FOLDED, Texts, mix, range_hashes, signed, text_blocks
 
 SHINGLE = 5
 #: Stands for a null id where a class needs a document that holds it.
@@ -55,33 +57,39 @@ SEEN = 0.8
 
 def _each_block(batches):
     for batch in batches:
-        data = encoded(batch.column("text"))
         ids = batch.column("doc_id")
-        for a, b in blocks(data):
-            yield ids.slice(a, b - a), Texts([t or b"" for t in data[a:b]], WHITE_FOLDED)
+        for a, b, texts in text_blocks(batch.column("text")):
+            yield ids.slice(a, b - a), Texts(texts, WHITE_FOLDED)
 
 
 def _count(batches):
     """Counts of what the task reads: words by counter, and shingles that repeat in it."""
     counts = np.zeros(COUNTERS, dtype=np.int64)
-    held: list[np.ndarray] = []
+    held = np.empty(COUNTED_TOGETHER, dtype=np.uint64)
     size = 0
 
     def repeated():
-        values, n = np.unique(np.concatenate(held), return_counts=True)
-        some = n > 1
+        # sorted in place: the buffer is as large as a task's shingles may be
+        some = held[:size]
+        some.sort()
+        starts = np.flatnonzero(np.concatenate(([True], some[1:] != some[:-1])))
+        n = np.diff(np.append(starts, size))
+        many = n > 1
         return pa.RecordBatch.from_pydict(
-            {"word": np.zeros(some.sum(), dtype=bool), "slot": signed(values[some]), "n": n[some]}
+            {"word": np.zeros(many.sum(), dtype=bool), "slot": signed(some[starts[many]]), "n": n[many]}
         )
 
     for _, texts in _each_block(batches):
         slot = (texts.hashes & np.uint64(COUNTERS - 1)).astype(np.int64)
         counts += np.bincount(slot, minlength=COUNTERS)
-        held.append(texts.grams(SHINGLE)[texts.gram_ok(SHINGLE)])
-        size += len(held[-1])
-        if size >= COUNTED_TOGETHER:
-            yield repeated()
-            held, size = [], 0
+        grams = texts.grams(SHINGLE)[texts.gram_ok(SHINGLE)]
+        while len(grams):
+            part = grams[: COUNTED_TOGETHER - size]
+            held[size : size + len(part)] = part
+            size, grams = size + len(part), grams[len(part) :]
+            if size == COUNTED_TOGETHER:
+                yield repeated()
+                size = 0
     if size:
         yield repeated()
     some = np.flatnonzero(counts)
@@ -215,6 +223,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order) -> D
     sets = written(
         sets.join(needed, ["doc_id", "class"]).groupBy("class").agg(F.first("grams").alias("grams")), "sets"
     )
+    bits.destroy()
     both = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
     common = F.size(F.array_intersect("left", "right"))
     union = F.size("left") + F.size("right") - common
@@ -226,17 +235,51 @@ def _beyond(n: str) -> Column:
     return F.floor((F.col(n) * SIMILARITY + 99) / 100) - 1
 
 
-def _may_reach(pairs: DataFrame, classes: DataFrame, share: float = 1.0) -> DataFrame:
-    """Those of ``pairs (a, b, c)`` that ``c`` common prefix shingles leave possible.
+def _required(n_a: Column, n_b: Column) -> Column:
+    """Shingles in common that two sets of these sizes need."""
+    # of the union, which has n_a + n_b less the common ones
+    return F.floor(((n_a + n_b) * SIMILARITY + 99 + SIMILARITY) / (100 + SIMILARITY))
+
+
+def _open_pairs(held: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of different roots that the place of a common shingle leaves possible.
+
+    ``held`` has rows of (shingle, its place i from 0, class, n, root). Two sets have at
+    most as many shingles in common as follow their first common one in either order, and
+    itself. As the smaller set needs at least what two sets of its size need, only its
+    first shingles are joined.
+    """
+    small = held.where(F.col("n") - F.col("i") >= _required(F.col("n"), F.col("n")))
+    small = small.toDF("shingle", "i_a", "a", "n_a", "root_a")
+    large = held.toDF("shingle", "i_b", "b", "n_b", "root_b")
+    left = F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b"))
+    met = small.join(large, "shingle").where(
+        (F.col("root_a") != F.col("root_b"))
+        & (F.struct("n_a", "a") < F.struct("n_b", "b"))
+        & (F.col("n_a") * 100 >= F.col("n_b") * SIMILARITY)
+        & (left >= _required(F.col("n_a"), F.col("n_b")))
+    )
+    return met.select("a", "b").distinct()
+
+
+def _with_common(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """``pairs (a, b)`` with the number ``c`` of shingles that both prefixes have."""
+    needed = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+    prefixes = full.select("class", "prefix").join(needed, "class").dropDuplicates(["class"])
+    prefixes = written(prefixes, "prefixes")
+    both = pairs.join(prefixes.toDF("a", "left"), "a").join(prefixes.toDF("b", "right"), "b")
+    return both.select("a", "b", F.size(F.array_intersect("left", "right")).alias("c"))
+
+
+def _may_reach(pairs: DataFrame, classes: DataFrame, share: float) -> DataFrame:
+    """Those of ``pairs (a, b, c)`` with ``share`` of the common prefix shingles that they need.
 
     Beyond the end of the prefix that ends first, two sets have at most as many
-    shingles in common as follow it. ``share`` asks for less than the full number only
-    where ``c`` may miss some.
+    shingles in common as follow it; ``c`` of those before are known to be common.
     """
     size = classes.select("class", "n")
     both = pairs.join(size.toDF("a", "n_a"), "a").join(size.toDF("b", "n_b"), "b")
-    # of the union, which has n_a + n_b less the common ones
-    required = F.floor(((F.col("n_a") + F.col("n_b")) * SIMILARITY + 99 + SIMILARITY) / (100 + SIMILARITY))
+    required = _required(F.col("n_a"), F.col("n_b"))
     return both.where(
         (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILARITY)
         & (F.col("c") >= (required - F.greatest(_beyond("n_a"), _beyond("n_b"))) * share)
@@ -266,7 +309,7 @@ def similar_documents(
     groups = written(
         full.groupBy("n", "head").agg(F.min("class").alias("group"), F.first("prefix").alias("prefix")),
         "groups",
-    ).select("group", F.explode("prefix").alias("shingle"))
+    ).select("group", F.posexplode("prefix").alias("i", "shingle"))
     shared = (
         groups.groupBy("shingle")
         .agg(F.min("group").alias("first"), F.max("group").alias("last"))
@@ -275,8 +318,9 @@ def similar_documents(
     )
     shared = written(shared, "shared")
     bits = sc.broadcast(bitmap(shared, F.col("shingle"), 1 << 28))
-    maybe = groups.mapInArrow(_only(bits, "shingle"), "group long, shingle long")
+    maybe = groups.mapInArrow(_only(bits, "shingle"), "group long, i int, shingle long")
     meets = written(maybe.join(shared, "shingle"), "meets")
+    bits.destroy()
 
     # a group that shares nearly all of its prefix is near what others are copies of
     alone = meets.groupBy("group").agg(F.count("*").alias("shared")).join(
@@ -306,26 +350,21 @@ def similar_documents(
     mixed = placed.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     torn = mixed.where("low < high").select("group")
     own = heads.join(torn, "group").join(full.select("n", "head", "prefix"), ["n", "head"])
-    own = own.groupBy("group").agg(F.first("prefix").alias("prefix")).select("group", F.explode("prefix").alias("shingle"))
-    held = meets.select("group", "shingle").union(own).distinct().join(placed, "group")
+    own = own.groupBy("group").agg(F.first("prefix").alias("prefix"))
+    own = own.select("group", F.posexplode("prefix").alias("i", "shingle"))
+    held = meets.select("group", "i", "shingle").union(own).distinct().join(placed, "group")
     open_ = (
         held.groupBy("shingle")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
         .where("low < high")
         .select("shingle")
     )
-    held = written(held.join(open_, "shingle").select("shingle", "class", "n", "root"), "open")
-    by_root = held.select("shingle", "root").distinct()
-    across = by_root.toDF("shingle", "root_a").join(by_root.toDF("shingle", "root_b"), "shingle").where("root_a < root_b")
-    pairs = (
-        across.join(held.toDF("shingle", "a", "n_a", "root_a"), ["shingle", "root_a"])
-        .join(held.toDF("shingle", "b", "n_b", "root_b"), ["shingle", "root_b"])
-        .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILARITY)
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("c"))
-    )
-    pairs = _may_reach(pairs, classes)
+    held = written(held.join(open_, "shingle").select("shingle", "i", "class", "n", "root"), "open")
+    pairs = written(_open_pairs(held), "met")
+    pairs = _may_reach(_with_common(pairs, full), classes, 1.0)
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _verified(pairs, docs, classes, order)
+    order.destroy()
     roots = components(links.union(more))
 
     labelled = rows.select("doc_id", "n", "class").join(roots.withColumnRenamed("node", "class"), "class", "left")
