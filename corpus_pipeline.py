@@ -4,8 +4,7 @@ Every stage but the last returns the columns of the documents it was given. Text
 stage changes have their ``n_chars``, where there is one, counted again.
 
 Defined results: an empty table passes through; documents with null or empty texts are
-kept by all stages; rows that repeat an id stay together unless they are near duplicates
-of a document with a smaller id; further columns are kept until the last stage.
+kept by all stages, further columns are kept until the last stage.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from objsync.llm import decontamination, jaccard_join, packing, secret_scan, toxic_spans
 from objsync.llm.queries import tokenizer_path
-from objsync.llm.shared import table, without_ids, written
+from objsync.llm.shared import maybe_among, table, written
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -32,10 +31,23 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates."""
-    groups = jaccard_join.similar_documents(docs)
-    later = written(groups.where("component_id < doc_id").select("doc_id"), "later")
-    return without_ids(docs, later, "doc_id")
+    """One row of each group of near duplicates.
+
+    Rows go by a hash of id and text, so documents that share an id are told apart; of
+    rows alike in both, one stays where they have words. The row of the smallest hash stays.
+    """
+    key = "__row_key"
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    groups = written(jaccard_join.similar_documents(keyed, id_column=key).withColumnRenamed("doc_id", key), "groups")
+    later = groups.where(F.col("component_id") < F.col(key)).select(key, F.lit(False).alias("__stays"))
+    first = groups.where((F.col("n_shingles") > 0) & (F.col("component_id") == F.col(key)))
+    repeated = first.groupBy(key).count().where("count > 1").select(key, F.lit(True).alias("__stays"))
+    listed = written(later.unionByName(repeated).distinct(), "listed")
+    # most rows are ruled out by a bitmap and stay; the others are joined
+    among = maybe_among(spark, listed, key)(key)
+    rest = keyed.where(among).join(listed, key, "left")
+    once = rest.where("__stays").dropDuplicates([key]).unionByName(rest.where("__stays is null"))
+    return keyed.where(~among).unionByName(once.drop("__stays")).drop(key)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

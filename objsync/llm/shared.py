@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,11 +101,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def without_ids(documents: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """``documents`` whose ``column`` (a long) is not among the stored ``ids``.
+def maybe_among(spark: SparkSession, ids: DataFrame, column: str):
+    """A column function that is true for all longs of ``ids``' ``column`` and few others.
 
-    Rows that a bitmap of the ids rules out pass as they are; only the others, about as
-    many as there are ids, are joined.
+    It takes a bitmap of the ids to the tasks, and only the column itself passes through
+    Python. A null is not among the ids.
     """
     from .words import mix, signed
 
@@ -112,25 +113,15 @@ def without_ids(documents: DataFrame, ids: DataFrame, column: str) -> DataFrame:
         return mix(values.astype(np.int64).view(np.uint64))
 
     def hashes(batches):
-        import pyarrow as pa
-
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"h": signed(hashed(batch.column(0).to_numpy()))})
 
-    listed = ids.select(F.col(column).cast("long").alias("id")).where("id is not null").distinct()
-    bits = documents.sparkSession.sparkContext.broadcast(bitmap(listed.mapInArrow(hashes, "h long"), F.col("h")))
-
-    def among(wanted: bool):
-        def run(batches):
-            import pyarrow as pa
-
-            for batch in batches:
-                values = batch.column(batch.schema.names.index(column))
-                found = in_bitmap(bits.value, hashed(values.fill_null(0).to_numpy())) & values.is_valid().to_numpy(False)
-                yield batch.filter(pa.array(found == wanted))
+    listed = ids.select(F.col(column).cast("long")).where(F.col(column).isNotNull())
+    bits = spark.sparkContext.broadcast(bitmap(listed.mapInArrow(hashes, "h long"), F.col("h")))
 
-        return run
+    @F.arrow_udf("boolean")
+    def among(values: pa.Array) -> pa.Array:
+        found = in_bitmap(bits.value, hashed(values.fill_null(0).to_numpy(zero_copy_only=False)))
+        return pa.array(found & values.is_valid().to_numpy(False))
 
-    clear = documents.mapInArrow(among(False), documents.schema)
-    rest = documents.mapInArrow(among(True), documents.schema)
-    return clear.unionByName(rest.join(listed, F.col(column) == F.col("id"), "left_anti"))
+    return among

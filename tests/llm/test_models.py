@@ -173,3 +173,37 @@ def test_pipeline_ends_in_token_ids(spark):
     assert len(whole) == 1
     (ids,) = whole
     assert [len(r[ids]) == r.length > 0 for r in packed.collect()] == [True, True]
+
+
+def test_surrogates_come_to_an_end(spark):
+    """Forms without anything to draw, and forms whose surrogates are all originals."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = " ".join(f"{a}@{b}.de" for a in letters for b in letters)
+    phones = " ; ".join(f"{i:03d}-{j:04d}" for i in (555, 556) for j in range(0, 10_000, 7))
+    docs = spark.createDataFrame(
+        [(1, "see _@-.com now"), (2, mails), (3, phones), (4, None)], "doc_id long, text string"
+    )
+    got = {r["doc_id"]: r for r in pii_surrogates.replace_entities(docs, "key").collect()}
+    assert "_@-.com" not in got[1]["text"] and got[1]["n_email"] == 1 and got[4]["text"] is None
+    for i, old, cut in ((2, mails, " "), (3, phones, " ; ")):
+        new = got[i]["text"].split(cut)
+        assert len(new) == len(set(new)) == len(old.split(cut)) and not set(new) & set(old.split(cut))
+
+
+def test_languages_keep_a_quota_whatever_is_repeated(spark):
+    words = {x: [f"{x}{i}wort" for i in range(40)] for x in "abcdefg"}
+    rows = [(i, " ".join(words["abcdef"[i % 6]][(i * 7 + j) % 40] for j in range(12)), "abcdef"[i % 6]) for i in range(240)]
+    rows += [(1000 + i, " ".join(words["g"][:12]), "g") for i in range(200)] + [(5000, "x " * 400_000, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    codes = language_codes.fit(docs, 70)
+    assert sorted(codes.languages) == list("abcdefg")
+
+
+def test_one_row_of_each_group_stays_by_row(spark):
+    text = "the quick brown fox jumps over the lazy dog near the old river bank at noon today"
+    rows = [(1, text), (1, "another clean text of the same id"), (2, text), (2, text), (None, text), (None, None)]
+    rows += [(7, "said twice by one and the same"), (7, "said twice by one and the same"), (8, ""), (8, "")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, n_shingles string")
+    got = sorted((r["text"] for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()), key=repr)
+    assert got == sorted(["", "", "another clean text of the same id", None, "said twice by one and the same", text], key=repr)
+    assert corpus_pipeline.near_duplicates(spark, docs.where("false"), SF).collect() == []
