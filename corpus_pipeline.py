@@ -17,6 +17,15 @@ from objsync.llm.queries import tokenizer_path
 from objsync.llm.shared import maybe_among, table, written
 
 
+#: Bytes of the batches in which rows go to Python workers and come back; each core of an
+#: executor holds a few of them.
+BATCH_BYTES = "8m"
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     if "n_chars" not in docs.columns:
         return docs
@@ -26,6 +35,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxic span field does not reject."""
+    _in_small_batches(spark)
     tagger = toxic_spans.fit(toxic_spans.labelled_texts(docs, table(spark, sf_dir, "labels")))
     return toxic_spans.drop_toxic(docs, tagger)
 
@@ -36,6 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows go by a hash of id and text, so documents that share an id are told apart; of
     rows alike in both, one stays where they have words. The row of the smallest hash stays.
     """
+    _in_small_batches(spark)
     key = "__row_key"
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     groups = written(jaccard_join.similar_documents(keyed, id_column=key).withColumnRenamed("doc_id", key), "groups")
@@ -52,6 +63,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that a benchmark item has."""
+    _in_small_batches(spark)
     return _counted(decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark")))
 
 
@@ -62,6 +74,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the documents, ids included, and their places in packed sequences."""
+    _in_small_batches(spark)
     return packing.pack_documents(docs, tokenizer_path(), with_ids=True)
 
 

@@ -412,20 +412,19 @@ def score_documents(documents: DataFrame, tagger: Tagger) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
-def _clean(tagger):
-    def run(batches):
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, dtype=bool)
-            for a, b, part in text_blocks(batch.column("text")):
-                texts = Texts(part, ALNUM_FOLDED)
-                expected = tagger.value.tag(texts)[1]
-                keep[a:b] = tagger.value.score(expected, texts.counts) < THRESHOLD
-            yield batch.filter(pa.array(keep))
+def drop_toxic(documents: DataFrame, tagger: Tagger) -> DataFrame:
+    """``documents`` less those predicted to be toxic, columns as they are.
 
-    return run
+    Texts go to Python and only a flag comes back.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(tagger)
 
+    @F.arrow_udf("boolean")
+    def clean(column: pa.Array) -> pa.Array:
+        keep = np.zeros(len(column), dtype=bool)
+        for a, b, part in text_blocks(column):
+            texts = Texts(part, ALNUM_FOLDED)
+            keep[a:b] = shared.value.score(shared.value.tag(texts)[1], texts.counts) < THRESHOLD
+        return pa.array(keep)
 
-def drop_toxic(documents: DataFrame, tagger: Tagger) -> DataFrame:
-    """``documents`` less those predicted to be toxic, columns as they are."""
-    shared = documents.sparkSession.sparkContext.broadcast(tagger)
-    return documents.mapInArrow(_clean(shared), documents.schema)
+    return documents.where(clean("text"))
