@@ -220,3 +220,14 @@ def test_bad_host_is_dropped(spark):
     rows += [(100 + i, "x" if i % 10 else good, "bad") for i in range(60)]
     got = host_rules.judge_documents(spark.createDataFrame(rows, "doc_id long, text string, source string"))
     assert {r.doc_id for r in got.where("kept").collect()} == {i for i in range(60) if i % 10}
+
+
+def test_many_secrets_in_one_text(spark):
+    """More matches than a run holds: places are exact, and masking leaves none."""
+    text = " ".join(f"token=abcdefg{i:05d} é login: user{i}" for i in range(3000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = secret_scan.secrets_digest(secret_scan.find_secrets(docs)).first()
+    base = ",".join(f"assign:{m.start()}:{m.end()}" for m in re.finditer(r"token=[a-z0-9]+", text))
+    assert row["n_assign"] == 3000 and row["base_sha256"] == sha(base)
+    masked = secret_scan.mask_secrets(docs).first()["text"]
+    assert masked == " ".join(["[secret] é [secret]"] * 3000)
