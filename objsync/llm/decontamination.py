@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .fm_index import FMIndex
+from .shared import lean
 from .words import ALNUM_FOLDED, Texts, blocks, encoded
 
 WINDOW = 10
@@ -216,7 +217,7 @@ def mark_passages(
         ]
         schema = T.StructType([*through, *added])
         now = now.mapInArrow(
-            _pass_over(block, [f.name for f in through], text_column, clean and last), schema
+            lean(_pass_over(block, [f.name for f in through], text_column, clean and last)), schema
         )
         items = following
     return now

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bitmap, components, in_bitmap, written
+from .shared import bitmap, components, in_bitmap, lean, written
 from .words import WHITE_FOLDED, Texts, mix, range_hashes, signed, text_blocks
 
 SHINGLE = 5
@@ -105,7 +105,7 @@ class _Order:
 
     def __init__(self, docs: DataFrame):
         counts = written(
-            docs.mapInArrow(_count, "word boolean, slot long, n long").groupBy("word", "slot").agg(F.sum("n").alias("n")),
+            docs.mapInArrow(lean(_count), "word boolean, slot long, n long").groupBy("word", "slot").agg(F.sum("n").alias("n")),
             "counts",
         )
         words = counts.where("word").toArrow()
@@ -218,8 +218,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order) -> D
     pairs = written(pairs.select("a", "b").distinct(), "pairs")
     needed = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
     needed = written(classes.join(needed, "class").select(F.col("least").alias("doc_id"), "class"), "needed")
-    bits = sc.broadcast(bitmap(needed.mapInArrow(_holder_column, "h long"), F.col("h"), 1 << 28))
-    sets = docs.mapInArrow(_emit_sets(bits, order), "doc_id long, class long, grams array<long>")
+    bits = sc.broadcast(bitmap(needed.mapInArrow(lean(_holder_column), "h long"), F.col("h"), 1 << 28))
+    sets = docs.mapInArrow(lean(_emit_sets(bits, order)), "doc_id long, class long, grams array<long>")
     sets = written(
         sets.join(needed, ["doc_id", "class"]).groupBy("class").agg(F.first("grams").alias("grams")), "sets"
     )
@@ -296,7 +296,7 @@ def similar_documents(
     )
     order = sc.broadcast(_Order(docs))
     rows = written(
-        docs.mapInArrow(_emit_classes(order), "doc_id long, n long, class long, head long, prefix array<long>"),
+        docs.mapInArrow(lean(_emit_classes(order)), "doc_id long, n long, class long, head long, prefix array<long>"),
         "shingled",
     )
     full = rows.where("n > 0")
@@ -318,7 +318,7 @@ def similar_documents(
     )
     shared = written(shared, "shared")
     bits = sc.broadcast(bitmap(shared, F.col("shingle"), 1 << 28))
-    maybe = groups.mapInArrow(_only(bits, "shingle"), "group long, i int, shingle long")
+    maybe = groups.mapInArrow(lean(_only(bits, "shingle")), "group long, i int, shingle long")
     meets = written(maybe.join(shared, "shingle"), "meets")
     bits.destroy()
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import kept, lean, written
 from .words import WHITE, Texts, blocks, encoded
 
 CAPACITY = 4096
@@ -114,14 +114,9 @@ class Encoder:
         return ids, np.append(0, to)[texts.first]
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def _emit_pieces(path: str, capacity: int, with_ids: bool):
     def run(batches):
-        encoder = _encoders.get(path)
-        if encoder is None:
-            encoder = _encoders[path] = Encoder(path)
+        encoder = kept(path, lambda: Encoder(path))
         for batch in batches:
             data = encoded(batch.column("text"))
             for a, b in blocks(data):
@@ -157,7 +152,7 @@ def token_pieces(
     docs = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     return docs.mapInArrow(
-        _emit_pieces(tokenizer_path, capacity, with_ids), schema + ", ids array<int>" * with_ids
+        lean(_emit_pieces(tokenizer_path, capacity, with_ids), tokenizer_path), schema + ", ids array<int>" * with_ids
     )
 
 
@@ -301,7 +296,7 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
         .select(*pieces.columns, (F.col("before") + F.col("rank") - 1).alias("number"))
     )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return numbered.mapInArrow(_placed(ranges), schema + ", sequence_id long, offset long")
+    return numbered.mapInArrow(lean(_placed(ranges)), schema + ", sequence_id long, offset long")
 
 
 def pack_documents(documents: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, **options) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +20,46 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]):
+    """What a worker keeps from task to task under ``name``, until ``lean`` drops it."""
+    if name not in _kept:
+        _kept[name] = make()
+    return _kept[name]
+
+
+def give_back(keep: str | None = None) -> None:
+    """Return the free memory of this worker, which lives on between stages, to the system.
+
+    Objects kept under other names than ``keep`` are dropped first.
+    """
+    for name in [n for n in _kept if n != keep]:
+        del _kept[name]
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(run, keep: str | None = None):
+    """The pass ``run`` over batches, at whose end its worker gives free memory back.
+
+    It starts without what passes of other kinds kept in the worker.
+    """
+
+    def passes(batches):
+        if any(n != keep for n in _kept):
+            give_back(keep)
+        try:
+            yield from run(batches)
+        finally:
+            give_back(keep)
+
+    return passes
+
+
 def bitmap(df: DataFrame, key: Column, max_bits: int = 1 << 26) -> np.ndarray:
     """Bits of all hashes ``key`` (longs), of ``max_bits`` (a power of two) at most.
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import crc_fold, written
+from .shared import crc_fold, give_back, lean, written
 from .words import ALNUM_FOLDED, Texts, blocks, encoded, mix, signed, text_blocks
 
 #: Labelled texts that features are counted on, at most (about), a third of them toxic.
@@ -107,7 +107,7 @@ def copy_groups(sketches: np.ndarray) -> np.ndarray:
 
 def _votes(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Sorted ids of the sampled texts with words and the vote of each: one for a group of near copies."""
-    got = rows.mapInArrow(_sketches, "id long, sketch binary").join(rows.select("id", "toxic"), "id").toArrow()
+    got = rows.mapInArrow(lean(_sketches), "id long, sketch binary").join(rows.select("id", "toxic"), "id").toArrow()
     ids = got["id"].to_numpy()
     sketches = np.frombuffer(b"".join(got["sketch"].to_pylist()), dtype=np.uint64).reshape(-1, SKETCH)
     both = copy_groups(sketches) * 2 + got["toxic"].to_numpy()
@@ -303,7 +303,7 @@ def _markers(rows: DataFrame) -> np.ndarray:
         return np.zeros(0, np.uint64)
     one = F.col("toxic") == 1
     sums = {"k1": F.when(one, F.col("vote")), "k0": F.when(~one, F.col("vote")), "t1": F.when(one, 1.0), "t0": F.when(~one, 1.0)}
-    counts = rows.mapInArrow(_emit_features(context.broadcast((ids, vote))), "feature long, toxic int, vote double")
+    counts = rows.mapInArrow(lean(_emit_features(context.broadcast((ids, vote)))), "feature long, toxic int, vote double")
     counts = counts.groupBy("feature").agg(*[F.coalesce(F.sum(v), F.lit(0.0)).alias(k) for k, v in sums.items()])
 
     def marks(k1: str, k0: str, n1: float, n0: float):
@@ -322,7 +322,7 @@ def _markers(rows: DataFrame) -> np.ndarray:
     every = got["feature"].to_numpy().view(np.uint64)
     some = every[got["group"].to_numpy()]
     shared = context.broadcast(Tagger(some))
-    n = rows.where("toxic = 1").mapInArrow(_covered(shared), "n long").agg(F.sum("n")).first()[0] or 0
+    n = rows.where("toxic = 1").mapInArrow(lean(_covered(shared)), "n long").agg(F.sum("n")).first()[0] or 0
     return some if 2 * n >= hot.sum() else every
 
 
@@ -354,7 +354,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, fitted: int = FITTED) -> Tagg
         tagger.fit_field(texts, toxic)
         tagger.bias = min(tagger.bias, -0.1)
         shared = labelled.sparkSession.sparkContext.broadcast(tagger)
-        clean = rows.where("toxic = 0").mapInArrow(_strays(shared), "expected double, words double")
+        clean = rows.where("toxic = 0").mapInArrow(lean(_strays(shared)), "expected double, words double")
         expected, words = clean.agg(F.sum("expected"), F.sum("words")).first()
         tagger.stray = (expected or 0.0) / max(1.0, words or 0.0)
         tagger.fit_score(tagger.tag(texts)[1], texts.counts, toxic)
@@ -407,7 +407,7 @@ def score_documents(documents: DataFrame, tagger: Tagger) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(tagger)
     held = F.coalesce(crc_fold() == 1, F.lit(False)).alias("held_out")
     scored = documents.select("doc_id", "text", held).mapInArrow(
-        _scored(shared), "doc_id long, held_out boolean, score double, offsets array<long>"
+        lean(_scored(shared)), "doc_id long, held_out boolean, score double, offsets array<long>"
     )
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
@@ -425,6 +425,7 @@ def drop_toxic(documents: DataFrame, tagger: Tagger) -> DataFrame:
         for a, b, part in text_blocks(column):
             texts = Texts(part, ALNUM_FOLDED)
             keep[a:b] = shared.value.score(shared.value.tag(texts)[1], texts.counts) < THRESHOLD
+        give_back()  # such a column has no end of its own
         return pa.array(keep)
 
     return documents.where(clean("text"))
