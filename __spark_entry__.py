@@ -226,15 +226,18 @@ def read_result_sets_known_header(spark, sf_dir):
 PAGE_ROWS = 200
 
 
-def land_pages(spark: SparkSession, sf_dir: str, nested: bool = False) -> str:
+def land_pages(spark: SparkSession, sf_dir: str, nested: bool = False, lost: int | None = None) -> str:
     """The customers as JSON page documents, one per line.
 
-    ``nested`` gives the layout of an analytics response: records below results.
+    ``nested`` gives the layout of an analytics response: records below results. With
+    ``lost`` pages tell how many records there are, and the page of that number is
+    missing unless it is the last.
     """
     customers = customer_text(spark, sf_dir).withColumn(
         "_key", F.col("c_custkey").cast("bigint")
     )
-    last = math.ceil(customers.count() / PAGE_ROWS)
+    total = customers.count()
+    last = math.ceil(total / PAGE_ROWS)
     record = F.struct(
         F.struct(F.lit("customer").alias("type")).alias("attributes"),
         *[c for c in customers.columns if c != "_key"],
@@ -248,6 +251,9 @@ def land_pages(spark: SparkSession, sf_dir: str, nested: bool = False) -> str:
     page = F.struct("done", "records")
     if nested:
         page = F.struct(F.struct("records").alias("results"))
+    if lost is not None:
+        page = F.struct(F.lit(total).alias("totalSize"), "done", "records")
+        pages = pages.where((F.col("page_no") != lost) | F.col("done"))
     pages = pages.select(F.to_json(page))
     path = new_run_dir(spark, "pages")
     pages.write.text(path)
@@ -292,6 +298,19 @@ def page_status(spark, sf_dir):
     return ob.page_status(ob.read_pages(spark, path, multi_line=False))
 
 
+@query(
+    f"""
+    SELECT n_pages - CAST(n_pages > 1 AS BIGINT) AS n_pages, CAST(1 AS BIGINT) AS n_done,
+           n - CASE WHEN n_pages > 1 THEN {PAGE_ROWS} ELSE 0 END AS n_records,
+           n_pages = 1 AS complete
+    FROM (SELECT count(*) AS n, (count(*) + {PAGE_ROWS - 1}) // {PAGE_ROWS} AS n_pages FROM customer)"""
+)
+def page_status_lost_page(spark, sf_dir):
+    """The first page is lost: one page is the last, but the total tells of more records."""
+    path = land_pages(spark, sf_dir, lost=1)
+    return ob.page_status(ob.read_pages(spark, path, [], multi_line=False))
+
+
 @query(
     """
     SELECT o_orderkey, 1 + (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS page_no,

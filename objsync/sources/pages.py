@@ -10,6 +10,8 @@ from objsync.functions.text import quoted
 
 # Record members that describe the record and are not its fields.
 RECORD_ATTRIBUTES = "attributes"
+# Page member that holds the number of records of all pages.
+TOTAL_SIZE = "totalSize"
 
 
 def _page_schema(types: dict[str, T.DataType]) -> T.StructType:
@@ -40,11 +42,12 @@ def read_pages(
     records_field: str = "records",
     done_field: str = "done",
     multi_line: bool = True,
+    total_field: str = TOTAL_SIZE,
 ) -> DataFrame:
-    """Page documents below ``path``: ``(done, records)``, one row per page.
+    """Page documents below ``path``: ``(done, records, total)``, one row per page.
 
-    Both fields may be dotted paths into the document, such as ``results.records``;
-    a response that has no done flag gives null. Record values are text, a nested
+    All fields may be dotted paths into the document, such as ``results.records``;
+    a response that has no done flag, or no total of the records of all pages, gives null. Record values are text, a nested
     value its JSON text. With ``columns`` the pages are parsed to just those fields
     and nothing is read ahead; without, one extra pass finds the fields.
     ``multi_line=False`` reads files with one page per line, which Spark can split.
@@ -55,14 +58,19 @@ def read_pages(
     )
     if columns is not None:
         record = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        types = {done_field: T.StringType(), records_field: T.ArrayType(record)}
+        types = {done_field: T.StringType(), total_field: T.StringType(), records_field: T.ArrayType(record)}
         reader = reader.schema(_page_schema(types))
     pages = reader.json(path)
     done = F.lit(None).cast("boolean")
     if _has_path(pages.schema, done_field):
         done = F.lower(F.col(_path_name(done_field))) == "true"
+    total = F.lit(None).cast("bigint")
+    if _has_path(pages.schema, total_field):
+        total = F.col(_path_name(total_field)).cast("bigint")
     return pages.select(
-        done.alias("done"), F.col(_path_name(records_field)).alias("records")
+        done.alias("done"),
+        F.col(_path_name(records_field)).alias("records"),
+        total.alias("total"),
     )
 
 
@@ -89,14 +97,17 @@ def page_records(pages: DataFrame) -> DataFrame:
 def page_status(pages: DataFrame) -> DataFrame:
     """``(n_pages, n_done, n_records, complete)`` of an extract.
 
-    It is complete when exactly one page says that it is the last.
+    It is complete when exactly one page says that it is the last and, where pages tell
+    how many records there are in all, every such page tells the number that is there. So
+    a lost page and one that landed twice are noticed.
     """
     done = F.count_if(F.coalesce(F.col("done"), F.lit(False)))
+    n_records = F.coalesce(F.sum(F.coalesce(F.size("records"), F.lit(0))), F.lit(0))
+    total = F.col("total") if "total" in pages.columns else F.lit(None).cast("bigint")
+    told = F.coalesce((F.min(total) == n_records) & (F.max(total) == n_records), F.lit(True))
     return pages.agg(
         F.count("*").alias("n_pages"),
         done.alias("n_done"),
-        F.coalesce(F.sum(F.coalesce(F.size("records"), F.lit(0))), F.lit(0))
-        .cast("bigint")
-        .alias("n_records"),
-        (done == 1).alias("complete"),
+        n_records.cast("bigint").alias("n_records"),
+        ((done == 1) & told).alias("complete"),
     )

@@ -135,6 +135,40 @@ def test_incomplete_and_empty_pages(spark, tmp_path):
     assert tuple(status.first()) == (2, 0, 1, False)
 
 
+@pytest.mark.parametrize("columns", [None, [], ["Id"]])
+def test_a_lost_or_repeated_page_is_noticed(spark, tmp_path, columns):
+    def landed(name, *pages, total="totalSize"):
+        path = land_pages(tmp_path / name, list(pages))
+        return ob.page_status(ob.read_pages(spark, path, columns, total_field=total)).first()
+
+    parts = [(False, "12"), (False, "34"), (True, "5")]
+    a, b, c = ({**page(done, *[{"Id": i} for i in ids]), "totalSize": 5} for done, ids in parts)
+    assert tuple(landed("whole", a, b, c)) == (3, 1, 5, True)
+    assert tuple(landed("lost", a, c)) == (2, 1, 3, False)
+    assert tuple(landed("twice", a, b, b, c)) == (4, 1, 7, False)
+    # totals that differ are of different extracts; pages that tell none are not compared
+    assert not landed("mixed", {**a, "totalSize": 6}, b, c)["complete"]
+    silent = {k: v for k, v in b.items() if k != "totalSize"}
+    assert landed("silent", a, silent, c)["complete"]
+    nothing = page(True)
+    assert landed("nothing", {**nothing, "totalSize": 0})["complete"]
+    nested = {"meta": {"n": 2}, **nothing}
+    assert not landed("nested", nested, total="meta.n")["complete"]
+
+
+def test_load_refuses_a_lost_page(spark, tmp_path):
+    first = page(False, {"Id": "1", "Deep": {"x": [1, {"y": 2}]}})
+    last = page(True, {"Id": "3"})
+    path = land_pages(tmp_path / "lost", [first, last])
+    with pytest.raises(ValueError, match="2 records"):
+        ob.load_object(spark, pages=path)
+    df = ob.load_object(spark, pages=path, accept_incomplete=True)
+    assert sorted(r["Id"] for r in df.collect()) == ["1", "3"]
+    middle = page(False, {"Id": "2"})
+    path = land_pages(tmp_path / "whole", [first, middle, last])
+    assert sorted(r["Id"] for r in ob.load_object(spark, pages=path).collect()) == ["1", "2", "3"]
+
+
 def test_other_member_names(spark, tmp_path):
     path = land_pages(tmp_path / "other", [{"isDone": True, "rows": [{"a": 1}]}])
     pages = ob.read_pages(spark, path, ["a"], records_field="rows", done_field="isDone")
@@ -191,13 +225,13 @@ def test_load_object(spark, tmp_path):
     )
     assert df.dtypes == [("id", "int"), ("name", "string"), ("amount", "double")]
     assert rows(df) == [(1, "x+y", 2.5)]
-    pages = land_pages(tmp_path / "load-pages", [page(True, {"id": 1}, {"id": 2})])
+    pages = land_pages(tmp_path / "load-pages", [{**page(True, {"id": 1}, {"id": 2}), "totalSize": 2}])
     assert rows(ob.load_object(spark, pages=pages, columns=["id"], infer=True)) == [(1,), (2,)]
     part = land_pages(tmp_path / "load-part", [page(False, {"id": 1})])
     with pytest.raises(ValueError, match="0 of 1 pages are the last"):
         ob.load_object(spark, pages=part)
     assert rows(ob.load_object(spark, pages=part, accept_incomplete=True)) == [("1",)]
-    none = land_pages(tmp_path / "load-none", [page(True)])
+    none = land_pages(tmp_path / "load-none", [{**page(True), "totalSize": 0}])
     assert rows(ob.load_object(spark, pages=none)) == []
     with pytest.raises(ValueError):
         ob.load_object(spark, result_sets=path, pages=pages)
