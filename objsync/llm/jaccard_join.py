@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bitmap, components, in_bitmap, lean, written
+from .shared import bitmap, components, in_bitmap, lean, maybe_among, written
 from .words import WHITE_FOLDED, Texts, mix, range_hashes, signed, text_blocks
 
 SHINGLE = 5
@@ -178,6 +178,11 @@ def _holder(doc_id: np.ndarray, cls: np.ndarray) -> np.ndarray:
     return mix(mix(doc_id.astype(np.int64).view(np.uint64)) ^ cls.view(np.uint64))
 
 
+def _holds(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    # two places for each holder, so that few others pass
+    return in_bitmap(bits, h) & in_bitmap(bits, mix(h))
+
+
 def _emit_sets(bits, order):
     """The whole sets of documents that may stand for a class in some pair."""
 
@@ -186,7 +191,7 @@ def _emit_sets(bits, order):
             sets = list(_sets(texts, order.value))
             cls = np.array([_hash_of(s) for s in sets], dtype=np.int64)
             doc = ids.fill_null(NO_ID).to_numpy()
-            keep = np.flatnonzero(in_bitmap(bits.value, _holder(doc, cls))) if len(cls) else []
+            keep = np.flatnonzero(_holds(bits.value, _holder(doc, cls))) if len(cls) else []
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.array(doc[keep], pa.int64()),
@@ -209,7 +214,7 @@ def _only(bits, column: str):
 def _holder_column(batches):
     for batch in batches:
         h = _holder(batch.column("doc_id").to_numpy(), batch.column("class").to_numpy())
-        yield pa.RecordBatch.from_pydict({"h": signed(h)})
+        yield pa.RecordBatch.from_pydict({"h": signed(np.concatenate((h, mix(h))))})
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order) -> DataFrame:
@@ -218,16 +223,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order) -> D
     pairs = written(pairs.select("a", "b").distinct(), "pairs")
     needed = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
     needed = written(classes.join(needed, "class").select(F.col("least").alias("doc_id"), "class"), "needed")
+    # others that pass have the set of their own class and meet no pair
     bits = sc.broadcast(bitmap(needed.mapInArrow(lean(_holder_column), "h long"), F.col("h"), 1 << 28))
     sets = docs.mapInArrow(lean(_emit_sets(bits, order)), "doc_id long, class long, grams array<long>")
-    sets = written(
-        sets.join(needed, ["doc_id", "class"]).groupBy("class").agg(F.first("grams").alias("grams")), "sets"
-    )
-    bits.destroy()
+    # both joins read one shuffle of the sets
+    sets = sets.groupBy("class").agg(F.first("grams").alias("grams"))
     both = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
     common = F.size(F.array_intersect("left", "right"))
     union = F.size("left") + F.size("right") - common
-    return written(both.where(common * 100 >= union * SIMILARITY).select("a", "b"), "links")
+    links = written(both.where(common * 100 >= union * SIMILARITY).select("a", "b"), "links")
+    bits.destroy()
+    return links
 
 
 def _beyond(n: str) -> Column:
@@ -262,11 +268,18 @@ def _open_pairs(held: DataFrame) -> DataFrame:
     return met.select("a", "b").distinct()
 
 
-def _with_common(pairs: DataFrame, full: DataFrame) -> DataFrame:
+def _prefixes_of(wanted: DataFrame, groups: DataFrame) -> DataFrame:
+    """``wanted`` with the prefix of its ``group``; a bitmap keeps others from the shuffle."""
+    wanted = written(wanted, "wanted")
+    among = maybe_among(wanted.sparkSession, wanted.select("group").distinct(), "group")("group")
+    return wanted.join(groups.where(among), "group")
+
+
+def _with_common(pairs: DataFrame, members: DataFrame, groups: DataFrame) -> DataFrame:
     """``pairs (a, b)`` with the number ``c`` of shingles that both prefixes have."""
     needed = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    prefixes = full.select("class", "prefix").join(needed, "class").dropDuplicates(["class"])
-    prefixes = written(prefixes, "prefixes")
+    prefixes = _prefixes_of(members.select("class", "group").join(needed, "class"), groups)
+    prefixes = written(prefixes.select("class", "prefix"), "prefixes")
     both = pairs.join(prefixes.toDF("a", "left"), "a").join(prefixes.toDF("b", "right"), "b")
     return both.select("a", "b", F.size(F.array_intersect("left", "right")).alias("c"))
 
@@ -309,17 +322,18 @@ def similar_documents(
     groups = written(
         full.groupBy("n", "head").agg(F.min("class").alias("group"), F.first("prefix").alias("prefix")),
         "groups",
-    ).select("group", F.posexplode("prefix").alias("i", "shingle"))
+    ).select("group", "prefix")
+    placed = groups.select("group", F.posexplode("prefix").alias("i", "shingle"))
     shared = (
-        groups.groupBy("shingle")
-        .agg(F.min("group").alias("first"), F.max("group").alias("last"))
+        placed.groupBy("shingle")
+        .agg(F.min("group").alias("first"), F.max("group").alias("last"), F.count("*").alias("held_by"))
         .where("first < last")
-        .select("shingle")
+        .select("shingle", "first", "last", F.expr("held_by > 2").alias("several"))
     )
     shared = written(shared, "shared")
     bits = sc.broadcast(bitmap(shared, F.col("shingle"), 1 << 28))
-    maybe = groups.mapInArrow(lean(_only(bits, "shingle")), "group long, i int, shingle long")
-    meets = written(maybe.join(shared, "shingle"), "meets")
+    maybe = placed.mapInArrow(lean(_only(bits, "shingle")), "group long, i int, shingle long")
+    meets = written(maybe.join(shared.select("shingle", "several"), "shingle"), "meets")
     bits.destroy()
 
     # a group that shares nearly all of its prefix is near what others are copies of
@@ -327,32 +341,37 @@ def similar_documents(
         members.where("class = group").select("group", "n"), "group"
     )
     alone = alone.select("group", (F.col("n") - _beyond("n") - F.col("shared")).alias("alone"))
-    ranked = meets.join(alone, "group")
+    several = meets.where("several").select("group", "shingle")
+    ranked = several.join(alone, "group")
     firsts = [
         F.min_by("group", F.struct("alone", F.col("group").bitwiseXOR(F.lit(x)))) for x in CENTRES
     ]
     centres = ranked.groupBy("shingle").agg(F.array_distinct(F.array(*firsts)).alias("centres"))
-    stars = meets.join(centres, "shingle").select("group", F.explode("centres").alias("centre")).where("group <> centre")
-    stars = stars.groupBy(F.col("group").alias("a"), F.col("centre").alias("b")).agg(F.count("*").alias("c"))
+    stars = several.join(centres, "shingle").select("group", "centres", F.explode("centres").alias("centre"))
+    # two centres of a shingle meet once; where only two groups have it, there is one pair
+    stars = stars.where((F.col("group") < F.col("centre")) | ~F.array_contains("centres", F.col("group")))
+    stars = stars.select(F.least("group", "centre").alias("a"), F.greatest("group", "centre").alias("b"))
+    stars = stars.union(shared.where("not several").select("first", "last"))
+    stars = stars.groupBy("a", "b").agg(F.count("*").alias("c"))
     inside = members.where("class <> group").select(F.col("group").alias("a"), F.col("class").alias("b"))
     # pairs left out here are seen again in the second step
-    near = _may_reach(stars, classes, SEEN).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    near = _may_reach(stars, classes, SEEN).select("a", "b")
+    inside = inside.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = _verified(near.union(inside), docs, classes, order)
     roots = components(links)
 
-    placed = written(
+    rooted = written(
         members.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
             "class", "n", "group", F.coalesce("root", "class").alias("root")
         ),
-        "placed",
+        "rooted",
     )
     # shingles of groups by class; a group with classes in several components meets itself
-    mixed = placed.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    torn = mixed.where("low < high").select("group")
-    own = heads.join(torn, "group").join(full.select("n", "head", "prefix"), ["n", "head"])
-    own = own.groupBy("group").agg(F.first("prefix").alias("prefix"))
+    mixed = rooted.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    own = _prefixes_of(mixed.where("low < high").select("group"), groups)
     own = own.select("group", F.posexplode("prefix").alias("i", "shingle"))
-    held = meets.select("group", "i", "shingle").union(own).distinct().join(placed, "group")
+    whole = rooted.join(mixed.where("low = high").select("group"), "group")
+    held = meets.select("group", "i", "shingle").join(whole, "group").unionByName(own.join(rooted, "group"))
     open_ = (
         held.groupBy("shingle")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
@@ -361,11 +380,12 @@ def similar_documents(
     )
     held = written(held.join(open_, "shingle").select("shingle", "i", "class", "n", "root"), "open")
     pairs = written(_open_pairs(held), "met")
-    pairs = _may_reach(_with_common(pairs, full), classes, 1.0)
+    pairs = _may_reach(_with_common(pairs, members, groups), classes, 1.0)
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _verified(pairs, docs, classes, order)
     order.destroy()
-    roots = components(links.union(more))
+    # what the first step joined is given as stars, which need no further rounds
+    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
     labelled = rows.select("doc_id", "n", "class").join(roots.withColumnRenamed("node", "class"), "class", "left")
     labelled = labelled.withColumn("root", F.coalesce("root", "class"))

@@ -102,6 +102,7 @@ def components(edges: DataFrame) -> DataFrame:
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         "edges",
     )
+    before = _summary(now)
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -114,21 +115,19 @@ def components(edges: DataFrame) -> DataFrame:
             least.select("a", F.col("m").alias("b"))
         )
         after = written(small.where("a <> b").distinct(), "edges")
-        if _same(now, after):
+        summary = _summary(after)
+        if summary == before:
             break
-        now = after
+        now, before = after, summary
     roots = after.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
-def _same(left: DataFrame, right: DataFrame) -> bool:
-    def summary(df: DataFrame):
-        # two sums of hashes and a count: equal for equal sets of edges
-        h = F.xxhash64("a", "b").cast("decimal(38,0)")
-        g = F.xxhash64("b", "a", F.lit(7)).cast("decimal(38,0)")
-        return df.agg(F.count("*"), F.sum(h), F.sum(g)).first()
-
-    return summary(left) == summary(right)
+def _summary(edges: DataFrame):
+    """Two sums of hashes and a count: equal for equal sets of edges."""
+    h = F.xxhash64("a", "b").cast("decimal(38,0)")
+    g = F.xxhash64("b", "a", F.lit(7)).cast("decimal(38,0)")
+    return edges.agg(F.count("*"), F.sum(h), F.sum(g)).first()
 
 
 def text_or_empty(column: str) -> Column:
