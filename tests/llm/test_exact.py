@@ -113,6 +113,40 @@ def test_jaccard_join(documents, empty):
     assert jaccard_join.similar_documents(empty).collect() == []
 
 
+def _near_copies():
+    """Groups of edited copies, and texts with equal prefixes of which only some are linked."""
+    rng = np.random.default_rng(5)
+    common = [f"c{i}" for i in range(16)]
+    texts = [" ".join(rng.choice(common, 30)) for _ in range(40)]
+    # rare words first, then common ones: the prefixes are equal, the rest is not
+    for _ in range(6):
+        rest = list(rng.choice(common[4:], 13))
+        texts += [" ".join([f"rare{i}" for i in range(6)] + common[:4] + rest + [last]) for last in common[4:8]]
+    for g in range(8):
+        words = [f"g{g}w{i}" for i in range(60)]
+        for _ in range(12):
+            edited = list(words)
+            for at in rng.integers(0, 60, rng.integers(0, 4)):
+                edited[at] = f"e{rng.integers(0, 3)}"
+            texts.append(" ".join(edited[: rng.integers(52, 61)]))
+    return [(int(i), t) for i, t in zip(rng.permutation(len(texts)), texts, strict=True)]
+
+
+def test_jaccard_join_of_near_copies(spark):
+    rows = _near_copies()
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
+    root = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    expected = [(i, len(s), root[i]) for i, s in sets.items()]
+    assert 3 < len({r for r in root.values() if list(root.values()).count(r) > 1})
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert same(jaccard_join.similar_documents(docs).collect(), expected)
+
+
 def test_components(spark):
     edges = [(5, 4), (4, 3), (9, 8), (3, 9), (20, 21), (7, 7)]
     got = {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
