@@ -491,7 +491,7 @@ EVENT_SCHEMA = T.StructType(
         T.StructField("event_id", T.LongType()),
         T.StructField("ts", T.TimestampType()),
         T.StructField("user_id", T.IntegerType()),
-        T.StructField("small_id", T.ShortType()),
+        T.StructField("small_id", T.IntegerType()),
         T.StructField("tiny_id", T.ByteType()),
         T.StructField("event_type", T.StringType()),
         T.StructField("value", T.DoubleType()),
