@@ -105,6 +105,18 @@ def _emit_segments(bits, window: int, with_words: bool):
                 "doc_id": ids.take(pa.array(owner)),
             }
             if with_words:
+                # copies in this block go on once, with their smallest and largest document
+                doc = ids.to_numpy(zero_copy_only=False)[owner]
+                order = np.lexsort((doc, segment))
+                segment, doc = segment[order], doc[order]
+                first = np.flatnonzero(np.append(len(segment) > 0, segment[1:] != segment[:-1]))
+                start, size, anchor = start[order][first], size[order][first], anchor[order][first]
+                columns = {
+                    "segment": signed(segment[first]),
+                    "anchor": signed(anchor),
+                    "least": pa.array(doc[first]),
+                    "most": pa.array(np.maximum.reduceat(doc, first) if len(first) else doc[first]),
+                }
                 raw = np.ascontiguousarray(texts.hashes.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES])
                 blob = raw.tobytes()
                 columns["words"] = pa.array(
@@ -126,6 +138,11 @@ def _search_shards(window: int):
     """For rows in order of ``shard``: the smallest document of each segment's windows."""
 
     def one(rows: pa.Table) -> pa.RecordBatch:
+        # copies of a segment from different tasks meet here, in the shard of their anchor
+        rows = rows.group_by(["segment", "skip"], use_threads=False).aggregate(
+            [("least", "min"), ("most", "max"), ("words", "first")]
+        )
+        rows = rows.rename_columns(["segment", "skip", "least", "most", "words"])
         raw = rows.column("words").to_pylist()
         sizes = np.fromiter((len(x) // WORD_BYTES for x in raw), dtype=np.int64, count=len(raw))
         flat = np.frombuffer(b"".join(raw), dtype=np.uint8).reshape(-1, WORD_BYTES)
@@ -292,34 +309,41 @@ def removal_spans(
     )
     shared = written(shared.select("anchor"), "anchors")
     bits = sc.broadcast(bitmap(shared, F.col("anchor"), 1 << 28))
+    segments = docs.mapInArrow(
+        _emit_segments(bits, window, True), "segment long, anchor long, least long, most long, words binary"
+    )
+    places = docs.mapInArrow(
+        _emit_segments(bits, window, False), "segment long, anchor long, doc_id long, print long, start long"
+    )
+    # at most one anchor in SPLIT_FROM segments is hot
+    hot = (
+        places.select("anchor", "segment").distinct().groupBy("anchor").count()
+        .where(F.col("count") > SPLIT_FROM).select("anchor", F.lit(True).alias("hot"))
+    )
+    marked = segments.join(F.broadcast(hot), "anchor", "left")
+    # equal segments have one anchor, so its shard takes all their copies in one shuffle
+    cold = marked.where(F.col("hot").isNull()).select(
+        "segment", "least", "most", F.lit(0).cast("long").alias("skip"), "words",
+        F.xxhash64("anchor").alias("shard"),
+    )
     distinct = (
-        docs.mapInArrow(
-            _emit_segments(bits, window, True), "segment long, anchor long, doc_id long, words binary"
-        )
+        marked.where(F.col("hot"))
         .groupBy("segment", "anchor")
-        .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.first("words").alias("words"))
+        .agg(F.min("least").alias("least"), F.max("most").alias("most"), F.first("words").alias("words"))
     )
-    distinct = written(distinct, "segments")
-    hot = distinct.groupBy("anchor").count().where(F.col("count") > SPLIT_FROM).select("anchor", F.lit(True).alias("hot"))
     last = F.floor(F.length("words") / WORD_BYTES).cast("long") - window
-    cut = F.when(F.col("hot"), F.sequence(F.lit(0).cast("long"), last))
-    shards = (
-        distinct.join(hot, "anchor", "left")
-        .select("*", F.explode_outer(cut).alias("at"))
+    split = (
+        distinct.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("skip"))
         .select(
             "segment",
             "least",
             "most",
-            F.coalesce("at", F.lit(0).cast("long")).alias("skip"),
-            F.when(F.col("at").isNull(), F.col("words"))
-            .otherwise(F.substring("words", (F.col("at") * WORD_BYTES + 1).cast("int"), F.lit(window * WORD_BYTES)))
-            .alias("words"),
-            F.col("at").isNotNull().alias("split"),
-            "anchor",
+            "skip",
+            F.substring("words", (F.col("skip") * WORD_BYTES + 1).cast("int"), F.lit(window * WORD_BYTES)).alias("words"),
         )
-        .withColumn("shard", F.when(F.col("split"), F.xxhash64("words")).otherwise(F.xxhash64("anchor")))
-        .select("segment", "least", "most", "skip", "words", "shard")
+        .withColumn("shard", F.xxhash64("words"))
     )
+    shards = cold.unionByName(split)
     firsts = (
         shards.repartition("shard")
         .sortWithinPartitions("shard")
@@ -327,9 +351,6 @@ def removal_spans(
         .where(F.array_min("firsts") < F.col("most"))
     )
     firsts = written(firsts, "firsts")
-    places = docs.mapInArrow(
-        _emit_segments(bits, window, False), "segment long, anchor long, doc_id long, print long, start long"
-    )
     spans = (
         places.join(firsts, "segment")
         .select("doc_id", "print", "start", "skip", "firsts")

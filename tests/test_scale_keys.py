@@ -20,3 +20,13 @@ def test_apply_schema_user_ids_past_short(spark, tmp_path):
     sql = entry_point.oracle_sql()["apply_schema"]
     fn = entry_point.queries()["apply_schema"]
     assert difference(spark, "apply_schema", fn, sql, str(tmp_path)) is None
+
+
+def test_substring_dedup_every_anchor_split(spark, monkeypatch):
+    # the path of hot anchors, window by window, gives what the path by anchors gives
+    from objsync.llm import substring_dedup
+
+    monkeypatch.setattr(substring_dedup, "SPLIT_FROM", 0)
+    sql = entry_point.oracle_sql()["op10_substring_dedup"]
+    fn = entry_point.queries()["op10_substring_dedup"]
+    assert difference(spark, "op10_substring_dedup", fn, sql, SF_DIR) is None
