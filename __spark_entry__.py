@@ -207,11 +207,11 @@ def read_result_sets(spark, sf_dir):
     FROM documents"""
 )
 def read_result_sets_split(spark, sf_dir):
-    """One large file whose values hold quotes and newlines, in small chunks."""
+    """Large files, one a split of the input, whose values hold quotes and newlines, in small chunks."""
     documents = table(spark, sf_dir, "documents")
     documents = documents.select([F.col(c).cast("string").alias(c) for c in ("doc_id", "text", "lang", "source", "n_chars")])
     path = new_run_dir(spark, "result-sets")
-    ob.write_result_set(documents.coalesce(1), path)
+    ob.write_result_set(documents, path)
     return ob.read_result_sets_split(spark, path, chunk_bytes=1 << 17)
 
 

@@ -30,3 +30,25 @@ def test_substring_dedup_every_anchor_split(spark, monkeypatch):
     sql = entry_point.oracle_sql()["op10_substring_dedup"]
     fn = entry_point.queries()["op10_substring_dedup"]
     assert difference(spark, "op10_substring_dedup", fn, sql, SF_DIR) is None
+
+
+def test_read_result_sets_split_lands_in_many_tasks(spark, tmp_path):
+    # each split of the input lands its own file; no task takes the whole table
+    import glob
+
+    from objsync.session import shared_dir
+
+    duckdb.sql(
+        f"COPY (SELECT * FROM '{SF_DIR}/documents.parquet') TO '{tmp_path}/documents.parquet'"
+        " (FORMAT parquet, ROW_GROUP_SIZE 100)"
+    )
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        before = set(glob.glob(f"{shared_dir(spark)}/objsync/result-sets-*"))
+        sql = entry_point.oracle_sql()["read_result_sets_split"]
+        fn = entry_point.queries()["read_result_sets_split"]
+        assert difference(spark, "read_result_sets_split", fn, sql, str(tmp_path)) is None
+        (landed,) = set(glob.glob(f"{shared_dir(spark)}/objsync/result-sets-*")) - before
+        assert len(glob.glob(f"{landed}/part-*")) > 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
