@@ -52,3 +52,15 @@ def test_read_result_sets_split_lands_in_many_tasks(spark, tmp_path):
         assert len(glob.glob(f"{landed}/part-*")) > 1
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_payload_order_judged_before_lines(spark):
+    # the keys of a payload are sorted once, not once for each of its lines
+    staged = spark.createDataFrame(
+        [(1, 2, 9, "h\n1,a\n2,b"), (2, 1, 5, "h\n3,c")], "batch_no bigint, n_rows bigint, n_bytes bigint, payload string"
+    )
+    lines = entry_point.payload_lines(staged, "h", 100, "batch_no")
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("array_sort")
+    assert sorted(r["line"] for r in lines.collect()) == ["1,a", "2,b", "3,c"]
+    assert all(r["in_order"] for r in lines.collect())
